@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from lorespark.operators import orphans
 from lorespark.operators import smallfiles as sf
 from lorespark.session import table
 
@@ -26,6 +27,20 @@ def p5_ranges(spark: SparkSession, d: str) -> DataFrame:
     return sf.bundle_ranges(p5_plan(spark, d))
 
 
+def _orphans(spark: SparkSession, d: str) -> DataFrame:
+    refs = orphans.page_references(table(spark, d, "sdv_full"))
+    parents = orphans.page_catalogue(table(spark, d, "manifest"), table(spark, d, "core_pages"), table(spark, d, "images_manifest"))
+    return orphans.resolve(refs, parents, orphans.deletion_log(table(spark, d, "page_log")))
+
+
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    return _orphans(spark, d).select("rec_no", "ref_title", "status").distinct()
+
+
+def p4_snapshot(spark: SparkSession, d: str) -> DataFrame:
+    return orphans.snapshot(_orphans(spark, d))
+
+
 _SQL_FILES = r"""
 WITH entry AS (
   SELECT 'manifest' AS listing, title AS name, path, bytes, ord FROM manifest
@@ -38,5 +53,5 @@ file AS (
   FROM flat WHERE file_path <> '' GROUP BY ALL)
 """
 
-QUERIES = {"p5_found": p5_found, "p5_plan": p5_plan, "p5_ranges": p5_ranges}
+QUERIES = {"p4_found": p4_found, "p4_snapshot": p4_snapshot, "p5_found": p5_found, "p5_plan": p5_plan, "p5_ranges": p5_ranges}
 SQL = {"p5_found": _SQL_FILES + "SELECT listing, file_path FROM file WHERE file_bytes < 1024"}

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -50,3 +51,13 @@ def local_session(cpus: int | None = None, app: str = "lorespark") -> SparkSessi
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )
+
+
+def materialise(df: DataFrame) -> DataFrame:
+    """Writes `df` as a table in the shared folder and reads it back; it is removed when the program ends."""
+    path = f"{shared_dir(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    spark = df.sparkSession
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    jpath.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(jpath)
+    return spark.read.schema(df.schema).parquet(path)
