@@ -5,10 +5,32 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lorespark.llm import split, termfreq
+from lorespark.llm import neardup, split, termfreq
 from lorespark.session import table
 
 
+def main_records(spark: SparkSession, d: str) -> DataFrame:
+    """Records of the main namespace that are no redirects."""
+    start = F.lower(F.substring("content", 1, 9))
+    return table(spark, d, "sdv_full").where("ns = 0").where(~start.startswith("#redirect") & ~start.startswith("#重定向"))
+
+
+def _near(spark: SparkSession, d: str) -> neardup.NearDuplicates:
+    return neardup.NearDuplicates(main_records(spark, d), "rec_no", "content", width=3, threshold=0.6, min_words=40)
+
+
+def p2_found(spark: SparkSession, d: str) -> DataFrame:
+    return _near(spark, d).record_pairs().select(F.col("item_a").alias("rec_no_a"), F.col("item_b").alias("rec_no_b"))
+
+
+def p2_class_pairs(spark: SparkSession, d: str) -> DataFrame:
+    return _near(spark, d).pairs()
+
+
+def p2_membership(spark: SparkSession, d: str) -> DataFrame:
+    return _near(spark, d).membership()
+
+
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
     cuts = split.split_oversized(table(spark, d, "sdv_full"), "rec_no", "content")
     return cuts.select(F.col("item_key").alias("rec_no"), "cut")
@@ -26,7 +48,7 @@ def p6_found(spark: SparkSession, d: str) -> DataFrame:
     return p6_terms(spark, d).where("mark <> 'useful'").select("term", "mark")
 
 
-QUERIES = {"p3_found": p3_found, "p3_pieces": p3_pieces, "p6_found": p6_found, "p6_terms": p6_terms}
+QUERIES = {"p2_found": p2_found, "p2_class_pairs": p2_class_pairs, "p2_membership": p2_membership, "p3_found": p3_found, "p3_pieces": p3_pieces, "p6_found": p6_found, "p6_terms": p6_terms}
 
 SQL = {
     "p3_found": r"""
