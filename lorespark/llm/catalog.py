@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lorespark.llm import neardup, split, termfreq
+from lorespark.llm import content_model, neardup, split, termfreq
 from lorespark.session import table
 
 
@@ -15,6 +15,15 @@ def main_records(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "sdv_full").where("ns = 0").where(~start.startswith("#redirect") & ~start.startswith("#重定向"))
 
 
+def p1_found(spark: SparkSession, d: str) -> DataFrame:
+    found = content_model.structure(main_records(spark, d), "rec_no", "content", with_text=False)
+    return found.select(F.col("item_key").alias("rec_no"), F.inline("elements")).select("rec_no", "elem_kind", "label")
+
+
+def p1_clean_text(spark: SparkSession, d: str) -> DataFrame:
+    return content_model.structure(main_records(spark, d), "rec_no", "content").select(F.col("item_key").alias("rec_no"), "clean_text", F.size("elements").alias("n_elements"))
+
+
 def _near(spark: SparkSession, d: str) -> neardup.NearDuplicates:
     return neardup.NearDuplicates(main_records(spark, d), "rec_no", "content", width=3, threshold=0.6, min_words=40)
 
@@ -48,7 +57,7 @@ def p6_found(spark: SparkSession, d: str) -> DataFrame:
     return p6_terms(spark, d).where("mark <> 'useful'").select("term", "mark")
 
 
-QUERIES = {"p2_found": p2_found, "p2_class_pairs": p2_class_pairs, "p2_membership": p2_membership, "p3_found": p3_found, "p3_pieces": p3_pieces, "p6_found": p6_found, "p6_terms": p6_terms}
+QUERIES = {"p1_found": p1_found, "p1_clean_text": p1_clean_text, "p2_found": p2_found, "p2_class_pairs": p2_class_pairs, "p2_membership": p2_membership, "p3_found": p3_found, "p3_pieces": p3_pieces, "p6_found": p6_found, "p6_terms": p6_terms}
 
 SQL = {
     "p3_found": r"""
