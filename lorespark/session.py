@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -34,7 +36,24 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Makes this package importable in the Python workers, once per application."""
+    app = spark.sparkContext.applicationId
+    if app not in _shipped:
+        _shipped.add(app)
+        package = Path(__file__).parent
+        archive = os.path.join(tempfile.mkdtemp(prefix="lorespark-code-"), "lorespark.zip")  # Spark hands it to the executors
+        with zipfile.ZipFile(archive, "w") as z:
+            for p in sorted(package.rglob("*.py")):
+                z.write(p, p.relative_to(package.parent))
+        spark.sparkContext.addPyFile(archive)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
@@ -60,4 +79,5 @@ def materialise(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
     jpath.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(jpath)
+    spark._jvm.System.gc()  # lets Spark remove the shuffle files that led here
     return spark.read.schema(df.schema).parquet(path)
