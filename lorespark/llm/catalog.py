@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lorespark.llm import content_model, neardup, split, termfreq
+from lorespark.llm import content_model, langid, mixing, neardup, packing, split, termfreq, tokens
 from lorespark.session import table
 
 
@@ -57,7 +57,46 @@ def p6_found(spark: SparkSession, d: str) -> DataFrame:
     return p6_terms(spark, d).where("mark <> 'useful'").select("term", "mark")
 
 
-QUERIES = {"p1_found": p1_found, "p1_clean_text": p1_clean_text, "p2_found": p2_found, "p2_class_pairs": p2_class_pairs, "p2_membership": p2_membership, "p3_found": p3_found, "p3_pieces": p3_pieces, "p6_found": p6_found, "p6_terms": p6_terms}
+def _languages(spark: SparkSession, d: str) -> DataFrame:
+    return langid.detect(table(spark, d, "documents"), "doc_id", "text", "lang")
+
+
+def p9_found(spark: SparkSession, d: str) -> DataFrame:
+    cases = _languages(spark, d).where("relabel").select(F.col("item_key").alias("doc_id"), F.explode("languages").alias("l"))
+    return cases.where("l.lang <> 'und'").select("doc_id", F.col("l.lang").alias("lang"))
+
+
+def p9_segments(spark: SparkSession, d: str) -> DataFrame:
+    return _languages(spark, d).select(F.col("item_key").alias("doc_id"), F.inline("segments"))
+
+
+def _profiles(spark: SparkSession, d: str) -> dict[str, tuple[int, int]]:
+    return {r["profile"]: (r["capacity_tokens"], r["separator_tokens"]) for r in table(spark, d, "pack_profiles").collect()}
+
+
+def p7_assignments(spark: SparkSession, d: str) -> DataFrame:
+    sizes = tokens.token_sizes(table(spark, d, "documents"), ["doc_id"], "text")
+    return packing.pack(sizes, "doc_id", "n_tokens", _profiles(spark, d)).withColumnRenamed("item", "doc_id")
+
+
+def p7_fill(spark: SparkSession, d: str) -> DataFrame:
+    return packing.fill_report(p7_assignments(spark, d), _profiles(spark, d))
+
+
+def _mixture(spark: SparkSession, d: str) -> mixing.Mixture:
+    sizes = tokens.token_sizes(table(spark, d, "documents"), ["doc_id", "source"], "text")
+    return mixing.Mixture(sizes.withColumnRenamed("doc_id", "item"), table(spark, d, "mix_targets"))
+
+
+def p8_schedule(spark: SparkSession, d: str) -> DataFrame:
+    return _mixture(spark, d).schedule().withColumnRenamed("item", "doc_id")
+
+
+def p8_shares(spark: SparkSession, d: str) -> DataFrame:
+    return _mixture(spark, d).shares()
+
+
+QUERIES = {"p7_assignments": p7_assignments, "p7_fill": p7_fill, "p8_schedule": p8_schedule, "p8_shares": p8_shares, "p9_found": p9_found, "p9_segments": p9_segments, "p1_found": p1_found, "p1_clean_text": p1_clean_text, "p2_found": p2_found, "p2_class_pairs": p2_class_pairs, "p2_membership": p2_membership, "p3_found": p3_found, "p3_pieces": p3_pieces, "p6_found": p6_found, "p6_terms": p6_terms}
 
 SQL = {
     "p3_found": r"""
