@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from lorespark.session import materialise
 
-BLOCK_TOKENS = 2048
+BLOCK_TOKENS = 512
 #: Rows of a chunk, within which ranks and running sums are taken; chunks are then offset.
 CHUNK_ROWS = 100_000
 # Fixed value: 2^32 divided by the golden ratio, odd.
