@@ -44,6 +44,7 @@ SHARE_OF_BEST = 0.25
 #: A sentence needs this many n-grams, and this estimate for a language, to be in it.
 MIN_GRAMS, MIN_ESTIMATE, MIN_MARGIN = 5, 0.35, 0.05
 _LANE = 24
+_LANE_MAX = (1 << _LANE) - 1
 
 _NOT_PROSE = re.compile(r"\{\{(?:[^{}]|\{\{[^{}]*\}\})*\}\}|\[\[[^\[\]]*\]\]|[(（]\s*[^\s()（）]+\s*[)）]")
 _SENTENCE = re.compile(r"[^\n.!?。！？]*(?:[.!?](?!\s|\Z)[^\n.!?。！？]*)*(?:[.!?。！？]+|\n|\Z)")
@@ -93,7 +94,7 @@ class Filters:
 
     def __init__(self, cells: np.ndarray):
         self.cells = cells
-        self.false = np.array([(((cells >> l) & 1).mean()) ** PROBES for l in range(len(LANGS))])
+        self.false_rates = [min(0.99, float(((cells >> l) & 1).mean()) ** PROBES) for l in range(len(LANGS))]
         self.known: dict[str, tuple[int, int]] = {}
 
     @classmethod
@@ -142,10 +143,15 @@ class Filters:
             lanes += b
         if n < MIN_GRAMS:
             return "und", 0.0, 0.0
-        counts = np.array([(lanes >> (_LANE * l)) & ((1 << _LANE) - 1) for l in range(len(LANGS))])
-        estimate = np.clip((counts - n * self.false) / (n * (1 - self.false) + 1e-9), 0, 1)
-        second, first = np.argsort(estimate, kind="stable")[-2:]
-        best, next_best = float(estimate[first]), float(estimate[second])
+        best = next_best = 0.0
+        first = 0
+        for l, false in enumerate(self.false_rates):
+            estimate = (((lanes >> (_LANE * l)) & _LANE_MAX) - n * false) / (n * (1 - false))
+            if estimate > best:
+                first, best, next_best = l, estimate, best
+            elif estimate > next_best:
+                next_best = estimate
+        best = min(best, 1.0)
         if best < MIN_ESTIMATE:
             return "und", best, 0.0
         return LANGS[first], best * best / (best + next_best), best - next_best
