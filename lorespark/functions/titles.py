@@ -21,8 +21,12 @@ NAMESPACE_ALIASES = {
 _PREFIX = "(?is)^(" + "|".join(NAMESPACE_ALIASES) + ") ?: ?(.*)$"
 
 
-def upper_first(c: Column) -> Column:
-    return F.concat(F.upper(F.substring(c, 1, 1)), c.substr(F.lit(2), F.length(c)))
+def uc_first(c: Column) -> Column:
+    return F.concat(F.upper(F.substring(c, 1, 1)), F.substr(c, F.lit(2)))
+
+
+def lc_first(c: Column) -> Column:
+    return F.concat(F.lower(F.substring(c, 1, 1)), F.substr(c, F.lit(2)))
 
 
 def clean_title(c: Column) -> Column:
@@ -41,4 +45,4 @@ def canonical_title(c: Column) -> Column:
     english = F.lit("")
     for alias, canon in NAMESPACE_ALIASES.items():
         english = F.when(prefix == alias, canon + ":").otherwise(english)
-    return F.when(prefix == "", upper_first(t)).otherwise(F.when(name == "", F.lit("")).otherwise(F.concat(english, upper_first(name))))
+    return F.when(prefix == "", uc_first(t)).otherwise(F.when(name == "", F.lit("")).otherwise(F.concat(english, uc_first(name))))
