@@ -47,7 +47,7 @@ def levels(edges: DataFrame, start: DataFrame, max_depth: int = 64) -> DataFrame
     written, so that neither lineage nor plan grows. Parents are aggregated before anything is
     kept, so a node with very many in-links is one row.
     """
-    edges = edges.select("src", "dst")
+    edges = materialise(edges.select("src", "dst").distinct())
     seen = materialise(start.select("node").distinct().select("node", F.lit(0).alias("level"), F.lit(None).cast(dict(start.dtypes)["node"]).alias("parent")))
     front, parts = seen, [seen]
     for depth in range(1, max_depth + 1):
@@ -55,7 +55,7 @@ def levels(edges: DataFrame, start: DataFrame, max_depth: int = 64) -> DataFrame
         old = parts[0].select("node")
         for p in parts[1:]:
             old = old.unionByName(p.select("node"))
-        front = materialise(reached.join(old, F.col("dst") == F.col("node"), "left_anti").select(F.col("dst").alias("node"), F.lit(depth).alias("level"), "parent"))
+        front = materialise(reached.join(old, F.col("dst") == F.col("node"), "left_anti").select(F.col("dst").alias("node"), F.lit(depth).alias("level"), "parent"), tidy=False)
         if front.isEmpty():
             break
         parts.append(front)
@@ -80,10 +80,10 @@ def closure(edges: DataFrame, max_rounds: int = 32) -> DataFrame:
     seen = new = base
     step = base.select(F.col("src").alias("dst"), F.col("dst").alias("further"))
     for _ in range(max_rounds):
-        new = materialise(new.join(step, "dst").select("src", F.col("further").alias("dst")).distinct().join(seen, ["src", "dst"], "left_anti"))
+        new = materialise(new.join(step, "dst").select("src", F.col("further").alias("dst")).distinct().join(seen, ["src", "dst"], "left_anti"), tidy=False)
         if new.isEmpty():
             break
-        seen = materialise(seen.unionByName(new))
+        seen = materialise(seen.unionByName(new), tidy=False)
     return seen
 
 

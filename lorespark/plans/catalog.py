@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from lorespark.plans import q_ask, q_data
+from lorespark.plans import q_ask, q_data, q_functions, q_records
 
 QUERIES: dict = {}
 SQL: dict = {}
-for _module in (q_ask, q_data):
+for _module in (q_ask, q_data, q_functions, q_records):
     QUERIES |= _module.QUERIES
     SQL |= _module.SQL
