@@ -131,7 +131,7 @@ def group_collect_structs(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("""SELECT o_orderkey, CAST(CASE WHEN o_orderpriority = '2-HIGH' THEN 1 WHEN o_orderpriority = '1-URGENT' THEN 2 ELSE 3 END AS BIGINT) AS listed, (CASE WHEN o_totalprice > 100000 THEN 1 ELSE 0 END) + (CASE WHEN o_totalprice > 200000 THEN 1 ELSE 0 END) + (CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END) AS score,
-row_number() OVER (ORDER BY TRY_CAST(regexp_extract(o_orderpriority, '^\\d+', 0) AS DOUBLE) DESC, o_orderkey) AS by_rate FROM orders""".replace("\\\\", "\\"))
+row_number() OVER (PARTITION BY o_custkey ORDER BY TRY_CAST(regexp_extract(o_orderpriority, '^\\d+', 0) AS DOUBLE) DESC, o_orderkey) AS by_rate FROM orders""".replace("\\\\", "\\"))
 def custom_orders(spark: SparkSession, d: str) -> DataFrame:
     o = table(spark, d, "orders")
     s = R.scored(o, {"a": F.col("o_totalprice") > 100000, "b": F.col("o_totalprice") > 200000, "c": F.col("o_orderstatus") == "F"})
