@@ -94,7 +94,7 @@ def ask_count(spark: SparkSession, d: str) -> DataFrame:
     return A.parse_ask("[[P_type::SMALL]]|format=count").count(*part_corpus(spark, d))
 
 
-@query("""SELECT '{| class="wikitable"' || chr(10) || '! Part' || chr(10) || '! P_type' || chr(10) || '! P_size' || chr(10) || string_agg('|-' || chr(10) || '| [[part:' || p_partkey || '|' || p_partkey || ']]' || chr(10) || '| ' || p_type || chr(10) || '| ' || p_size, chr(10) ORDER BY p_size DESC NULLS LAST, p_partkey) || chr(10) || '|}' AS wikitext
+@query("""SELECT coalesce('{| class="wikitable"' || chr(10) || '! Part' || chr(10) || '! P_type' || chr(10) || '! P_size' || chr(10) || string_agg('|-' || chr(10) || '| [[part:' || p_partkey || '|' || p_partkey || ']]' || chr(10) || '| ' || p_type || chr(10) || '| ' || p_size, chr(10) ORDER BY p_size DESC NULLS LAST, p_partkey) || chr(10) || '|}', '') AS wikitext
 FROM (SELECT * FROM part WHERE p_brand = 'Brand#2' AND p_size = 9)""")
 def ask_render_table_text(spark: SparkSession, d: str) -> DataFrame:
     return A.parse_ask("[[P_brand::Brand#2]][[P_size::9]]|?P_type|?P_size|mainlabel=Part|sort=P_size").text(*part_corpus(spark, d))
