@@ -221,3 +221,13 @@ def percent_of_span(pos: Column, lower: Column, upper: Column, digits: int = 1)
 def marker_percent(pct: Column, slack: float = 5.0) -> Column:
     """Clamped to [0, 100]; null where it lies more than `slack` outside."""
     return F.when(pct.between(-slack, 100 + slack), F.greatest(F.lit(0.0), F.least(F.lit(100.0), pct)))
+
+
+def lighter_colour(colour: Column, least_light: float = 0.6) -> Column:
+    """A `#rrggbb` colour for dark grounds: mixed with white until its lightness is `least_light`, so
+    that hue stays; lighter colours and other texts come back as they are."""
+    part = [F.conv(F.substring(colour, i, 2), 16, 10).cast("double") / 255 for i in (2, 4, 6)]
+    light = (F.greatest(*part) + F.least(*part)) / 2
+    share = F.when(light < least_light, (F.lit(least_light) - light) / (F.lit(1.0) - light)).otherwise(F.lit(0.0))
+    mixed = [F.lpad(F.lower(F.hex(F.floor((p + (F.lit(1.0) - p) * share) * 255 + 0.5).cast("bigint"))), 2, "0") for p in part]
+    return F.when(colour.rlike("^#[0-9a-fA-F]{6}$"), F.concat(F.lit("#"), *mixed)).otherwise(colour)

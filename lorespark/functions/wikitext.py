@@ -5,6 +5,7 @@ from __future__ import annotations
 import html
 import re
 
+from lorespark.functions import html_dom
 from lorespark.functions.html_dom import Grid
 
 _OPAQUE = re.compile(r"<!--.*?(?:-->|\Z)|<(nowiki|pre|source|syntaxhighlight)\b[^>]*>.*?</\1\s*>", re.S | re.I)
@@ -15,6 +16,7 @@ _LINK = re.compile(r"\[\[((?:[^\[\]]|\[(?!\[)|\](?!\]))*)\]\]")
 _FILE = re.compile(r"(?:file|image|文件|图像)$", re.I)
 _CATEGORY = re.compile(r"(?:category|分类)$", re.I)
 _MAP = re.compile(r"@@MAP\|([^|@]*)\|([^|@]*)\|(\d+)\|(\d+)\|([^@]*)@@")
+_CONTAINER = re.compile(r"<(div|center|section|blockquote|ul|ol|table)\b[^>]*>", re.I)
 _VARIANT = re.compile(r"-\{([^{}]*)\}-")
 
 
@@ -157,11 +159,19 @@ def map_rows(line: str) -> dict | None:
     return {"image": m[1], "title": m[2], "width": int(m[3]), "height": int(m[4]), "markers": [{"left": float(a), "top": float(b)} for a, b in points]}
 
 
-def nodes(text: str) -> list[dict]:
+def _html_rows(kind: str, raw: str) -> list[tuple[str, int, str]]:
+    """(kind, level, text) of an HTML list or table within wikitext."""
+    if kind == "table":
+        return [("header_cell" if c["is_header"] else "cell", c["row_ix"], plain(c["text"])) for c in html_dom.table_cells(raw) if c["table_no"] == 0]
+    return [("item", b["level"], plain(b["text"])) for b in html_dom.blocks(raw) if b["kind"] in ("bullet", "ordered")]
+
+
+def nodes(text: str, depth_left: int = 20) -> list[dict]:
     """Block rows in pre-order: node_id, parent_id, depth, kind, level, text.
 
     Lists nest by their marks; lines of a paragraph join with a space; an item whose links or
-    calls are still open goes on in the next line.
+    calls are still open goes on in the next line. HTML containers hold the nodes of their inner
+    text, HTML lists and tables their items and cells; what follows the end tag goes on as text.
     """
     out: list[dict] = []
     newest: dict[int, int] = {}  # last child of a node
@@ -222,6 +232,27 @@ def nodes(text: str) -> list[dict]:
                     add("image", gallery, 0, name.strip().partition(":")[2].strip() or name.strip())
                 i += 1
             i += 1
+        elif depth_left and (m := _CONTAINER.match(line)):
+            flush()
+            tag, depth, raw = m[1].lower(), 0, "\n".join([line, *lines[i:]])
+            end = len(raw)
+            for t in re.finditer(rf"<(/?){tag}\b[^>]*>", raw, re.I):
+                depth += -1 if t[1] else 1
+                if depth == 0:
+                    end = t.end()
+                    break
+            block = re.sub(r"\x00(\d+)\x00", lambda h: held[int(h[1])], raw[:end])
+            lines, i = raw[end:].split("\n"), 0
+            if tag in ("ul", "ol", "table"):
+                top = add({"ul": "bullet_list", "ol": "ordered_list"}.get(tag, "table"))
+                for kind, level, body in _html_rows(tag, block):
+                    add(kind, top, level, body)
+            else:
+                top = add("container")
+                inner = re.sub(rf"\A<{tag}\b[^>]*>|</{tag}\s*>\Z", "", block, flags=re.I)
+                base = len(out)
+                for n in nodes(inner, depth_left - 1):
+                    add(n["kind"], top if n["parent_id"] < 0 else base + n["parent_id"], n["level"], n["text"])
         elif _MAP.search(line):
             flush()
             add("map", body=map_rows(line)["title"])

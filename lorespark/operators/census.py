@@ -70,8 +70,9 @@ def latest_by_title(dump: DataFrame, order_col: str) -> DataFrame:
 
 
 def rollup_pages(hits: DataFrame, handler: str, page: str) -> DataFrame:
-    """(handler, pages, n): the distinct pages of each handler, sorted."""
-    return hits.groupBy(handler).agg(F.sort_array(F.collect_set(page)).alias("pages"), F.countDistinct(page).alias("n"))
+    """(handler, page, n): each distinct page of a handler and the number of its hits; the list of a
+    handler is its rows, so it may have any length."""
+    return hits.groupBy(handler, page).agg(F.count("*").alias("n"))
 
 
 def leaks(rendered: DataFrame, text_col: str, marks: list[str] | None = None) -> DataFrame:

@@ -5,7 +5,7 @@ No rule of any one game or shop is in here: what to look up and compute comes as
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lorespark.functions.strings import bit, marker_percent, percent_of_span
@@ -145,15 +145,11 @@ def scored(df: DataFrame, tests: dict[str, Column], out: str = "score") -> DataF
     return df.withColumn(out, sum((F.coalesce(t, F.lit(False)).cast("int") for t in tests.values()), F.lit(0)))
 
 
-def collect_by(df: DataFrame, key: str, columns: list[str]) -> DataFrame:
-    """(key, items): the rows of each key as sorted structs."""
-    return df.groupBy(key).agg(F.sort_array(F.collect_list(F.struct(*columns))).alias("items"))
-
-
-def latest(df: DataFrame, keys: list[str], order_col: str) -> DataFrame:
-    """Whole rows, the last of each key."""
-    w = Window.partitionBy(*keys).orderBy(F.col(order_col).desc_nulls_last())
-    return df.withColumn("__n", F.row_number().over(w)).where("__n = 1").drop("__n")
+def collect_by(df: DataFrame, key: str, order_col: str, columns: list[str], span: int) -> DataFrame:
+    """(key, part, items): the rows of each key as sorted structs, in parts of `span` values of the
+    integer order column, so that no row grows with its key."""
+    part = F.floor(F.col(order_col) / F.lit(span)).cast("bigint")
+    return df.groupBy(key, part.alias("part")).agg(F.sort_array(F.collect_list(F.struct(*columns))).alias("items"))
 
 
 def in_order(a: Column, names: list[str]) -> Column:

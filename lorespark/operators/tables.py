@@ -91,3 +91,24 @@ def merge_spans(spans: DataFrame, doc_col: str, pos_col: str, style_col: str, te
     runs = spans.withColumn("__new", new).withColumn("run", F.sum("__new").over(w).cast("bigint"))
     text = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct(pos_col, text_col))), lambda x: x[text_col]), "")
     return runs.groupBy(doc_col, "run", style_col).agg(text.alias("merged_text"))
+
+
+def split_pages(lines: DataFrame, doc_col: str, line_col: str, text_col: str, limit: int = 100_000, items: int = 150) -> DataFrame:
+    """(doc, part, label, lines): pages of at least `limit` characters with two or more sections, one
+    part per section, sections of more than `items` list lines cut after every `items` of them;
+    other pages stay one part. A label that occurs again gets a number."""
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    heading = text.rlike(r"^=+[^=].*=+\s*$|^'{3}[^']+'{3}\s*$")
+    marked = sections(lines.withColumn("__h", heading), doc_col, line_col, F.col("__h"))
+    size = marked.groupBy(doc_col).agg(F.sum(F.length(text) + 1).alias("__size"), F.max("section").alias("__secs"))
+    big = marked.join(size, doc_col).withColumn("__big", (F.col("__size") >= limit) & (F.col("__secs") >= 2))
+    in_section = Window.partitionBy(doc_col, "section").orderBy(line_col)
+    count = F.sum(text.rlike(r"^[*#]").cast("int")).over(in_section)
+    piece = F.when(F.col("__big"), F.floor(F.greatest(count - 1, F.lit(0)) / items)).otherwise(0)
+    placed = big.withColumn("__piece", piece).withColumn("__sec", F.when(F.col("__big"), F.col("section")).otherwise(0))
+    label = F.min_by(F.when(F.col("__h"), F.regexp_replace(text, r"^[='\s]+|[='\s]+$", "")), F.when(F.col("__h"), F.col(line_col)))
+    parts = placed.groupBy(doc_col, "__sec", "__piece").agg(F.coalesce(label, F.lit("")).alias("l"), F.sort_array(F.collect_list(F.struct(line_col, text.alias("t")))).alias("ls"))
+    n = F.row_number().over(Window.partitionBy(doc_col, "l").orderBy("__sec", "__piece"))
+    part = F.row_number().over(Window.partitionBy(doc_col).orderBy("__sec", "__piece")) - 1
+    shown = F.when(n > 1, F.concat("l", F.lit(" ("), n.cast("string"), F.lit(")"))).otherwise(F.col("l"))
+    return parts.select(doc_col, part.alias("part"), shown.alias("label"), F.transform("ls", lambda x: x["t"]).alias("lines"))

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lorespark.functions.ranking import number_rows
 from lorespark.functions.strings import namespace_of, without_namespace
 from lorespark.functions.titles import clean_title, lc_first, uc_first
 from lorespark.session import materialise
@@ -116,18 +117,19 @@ def sites_of(folders: DataFrame) -> DataFrame:
 
 def unique_titles(pages: DataFrame, order_col: str = "ord") -> DataFrame:
     """`unique_title`: the second and later pages of a title get ` (pageid)`, in scan order."""
-    n = F.row_number().over(Window.partitionBy("title").orderBy(order_col, "pageid"))
-    return pages.withColumn("unique_title", F.when(n > 1, F.concat("title", F.lit(" ("), F.coalesce(F.col("pageid").cast("string"), F.lit("?")), F.lit(")"))).otherwise(F.col("title")))
+    numbered = number_rows(pages, ["title"], order_col, ["pageid"], "__n")
+    suffix = F.concat("title", F.lit(" ("), F.coalesce(F.col("pageid").cast("string"), F.lit("?")), F.lit(")"))
+    return numbered.withColumn("unique_title", F.when(F.col("__n") > 1, suffix).otherwise(F.col("title"))).drop("__n")
 
 
 def assign_paths(pages: DataFrame, order_col: str = "ord") -> DataFrame:
     """`path` for each page: refused characters and trailing dots as `_`, reserved names marked, and `_dupN` on collisions."""
     flat = F.regexp_replace(F.regexp_replace("title", r'[<>:"\\|?*\x00-\x1f]', "_"), r"[. ]+$", "_")
     reserved = F.upper(F.element_at(F.split(flat, "/", -1), -1)).rlike(r"^(CON|PRN|AUX|NUL|COM[1-9]|LPT[1-9])$")
-    named = pages.withColumn("__p", F.concat(flat, F.when(reserved, "_").otherwise("")))
-    n = F.row_number().over(Window.partitionBy(F.lower("__p")).orderBy(order_col))
-    suffix = F.when(n > 1, F.concat(F.lit("_dup"), (n - 1).cast("string"))).otherwise("")
-    return named.withColumn("path", F.concat("__p", suffix, F.lit(".wiki"))).drop("__p")
+    named = pages.withColumn("__p", F.concat(flat, F.when(reserved, "_").otherwise(""))).withColumn("__k", F.lower("__p"))
+    numbered = number_rows(named, ["__k"], order_col, ["title"], "__n")
+    suffix = F.when(F.col("__n") > 1, F.concat(F.lit("_dup"), (F.col("__n") - 1).cast("string"))).otherwise("")
+    return numbered.withColumn("path", F.concat("__p", suffix, F.lit(".wiki"))).drop("__p", "__k", "__n")
 
 
 def subset(manifest: DataFrame, namespaces: list[int], titles: DataFrame) -> DataFrame:

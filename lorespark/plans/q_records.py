@@ -90,16 +90,15 @@ def record_bitflags(spark: SparkSession, d: str) -> DataFrame:
     return R.bit_flags(table(spark, d, "events").select("event_id", "user_id"), "user_id", ["b0", "b1", "b2"]).select("event_id", "b0", "b1", "b2")
 
 
-@query("""WITH b AS (SELECT o_orderpriority AS g, CAST(o_orderkey AS DOUBLE) AS x, o_totalprice AS y, 0.1 * max(o_orderkey) OVER (PARTITION BY o_orderpriority) AS lx, 0.95 * max(o_orderkey) OVER (PARTITION BY o_orderpriority) AS ux, 20000.0 AS ly, 480000.0 AS uy FROM orders),
+@query("""WITH b AS (SELECT o_custkey AS g, CAST(o_orderkey % 1000 AS DOUBLE) AS x, o_totalprice AS y, 100.0 AS lx, 950.0 AS ux, 20000.0 AS ly, 480000.0 AS uy FROM orders),
 p AS (SELECT g, round((x - lx) / (ux - lx) * 100, 1) AS l, round((y - ly) / (uy - ly) * 100, 1) AS t FROM b)
-SELECT g AS priority, count(*) AS markers, round(sum(greatest(0.0, least(100.0, l))), 0) AS sum_left, round(sum(greatest(0.0, least(100.0, t))), 0) AS sum_top FROM p WHERE l BETWEEN -5 AND 105 AND t BETWEEN -5 AND 105 GROUP BY g""")
+SELECT g AS o_custkey, count(*) AS markers, round(sum(greatest(0.0, least(100.0, l))), 1) AS sum_left, round(sum(greatest(0.0, least(100.0, t))), 1) AS sum_top FROM p WHERE l BETWEEN -5 AND 105 AND t BETWEEN -5 AND 105 GROUP BY g""")
 def marker_projection_clamp(spark: SparkSession, d: str) -> DataFrame:
-    o = table(spark, d, "orders")
-    top = o.groupBy("o_orderpriority").agg(F.max("o_orderkey").alias("m"))
-    pts = o.join(F.broadcast(top), "o_orderpriority").select(F.col("o_orderpriority").alias("priority"), F.col("o_orderkey").cast("double").alias("x"), F.col("o_totalprice").alias("y"), (F.col("m") * 0.1).alias("lower_x"), (F.col("m") * 0.95).alias("upper_x"), F.lit(20000.0).alias("lower_y"), F.lit(480000.0).alias("upper_y"))  # one row per priority
-    m = R.markers(pts, "priority", "x", "y")
-    total = lambda f: F.round(F.aggregate("markers", F.lit(0.0), lambda a, x: a + x[f]), 0)
-    return m.select("priority", F.size("markers").cast("bigint").alias("markers"), total("left").alias("sum_left"), total("top").alias("sum_top"))
+    x = (F.col("o_orderkey") % 1000).cast("double")
+    pts = table(spark, d, "orders").select("o_custkey", x.alias("x"), F.col("o_totalprice").alias("y"), F.lit(100.0).alias("lower_x"), F.lit(950.0).alias("upper_x"), F.lit(20000.0).alias("lower_y"), F.lit(480000.0).alias("upper_y"))
+    m = R.markers(pts, "o_custkey", "x", "y")
+    total = lambda f: F.round(F.aggregate("markers", F.lit(0.0), lambda a, p: a + p[f]), 1)
+    return m.select("o_custkey", F.size("markers").cast("bigint").alias("markers"), total("left").alias("sum_left"), total("top").alias("sum_top"))
 
 
 @query("""WITH s AS (SELECT l_orderkey, l_returnflag, sum(l_quantity) AS s FROM lineitem GROUP BY ALL), m AS (SELECT l_orderkey, max(s) AS m FROM s GROUP BY ALL)
@@ -124,10 +123,10 @@ def json_prop_lookup(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "events").select("event_id", F.from_json("props", "k bigint")["k"].alias("k"))
 
 
-@query("""SELECT c_mktsegment AS segment, count(*) AS n, string_agg(c_name, ',' ORDER BY c_custkey) AS names FROM customer GROUP BY ALL""")
+@query("""SELECT c_mktsegment AS segment, c_custkey // 500 AS part, count(*) AS n, string_agg(c_name, ',' ORDER BY c_custkey) AS names FROM customer GROUP BY ALL""")
 def group_collect_structs(spark: SparkSession, d: str) -> DataFrame:
-    got = R.collect_by(table(spark, d, "customer").withColumnRenamed("c_mktsegment", "segment"), "segment", ["c_custkey", "c_name"])
-    return got.select("segment", F.size("items").cast("bigint").alias("n"), F.array_join(F.transform("items", lambda x: x["c_name"]), ",").alias("names"))
+    got = R.collect_by(table(spark, d, "customer").withColumnRenamed("c_mktsegment", "segment"), "segment", "c_custkey", ["c_custkey", "c_name"], 500)
+    return got.select("segment", "part", F.size("items").cast("bigint").alias("n"), F.array_join(F.transform("items", lambda x: x["c_name"]), ",").alias("names"))
 
 
 @query("""SELECT o_orderkey, CAST(CASE WHEN o_orderpriority = '2-HIGH' THEN 1 WHEN o_orderpriority = '1-URGENT' THEN 2 ELSE 3 END AS BIGINT) AS listed, (CASE WHEN o_totalprice > 100000 THEN 1 ELSE 0 END) + (CASE WHEN o_totalprice > 200000 THEN 1 ELSE 0 END) + (CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END) AS score,
@@ -310,9 +309,9 @@ def dump_latest_by_title(spark: SparkSession, d: str) -> DataFrame:
     return C.latest_by_title(table(spark, d, "sdv_full").select("title", "rec_no", "ns"), "rec_no")
 
 
-@query("SELECT event_type, string_agg(DISTINCT user_id, ',' ORDER BY user_id) AS pages, count(DISTINCT user_id) AS n FROM events GROUP BY event_type")
+@query("SELECT event_type, user_id, count(*) AS n FROM events GROUP BY event_type, user_id")
 def handler_rollup(spark: SparkSession, d: str) -> DataFrame:
-    return C.rollup_pages(table(spark, d, "events"), "event_type", "user_id").withColumn("pages", F.array_join(F.transform("pages", lambda x: x.cast("string")), ","))
+    return C.rollup_pages(table(spark, d, "events"), "event_type", "user_id")
 
 
 @query("SELECT rec_no, (CASE WHEN contains(content, '{{') THEN '{{ ' ELSE '' END) || (CASE WHEN contains(content, '[[') THEN '[[ ' ELSE '' END) || (CASE WHEN contains(content, '<nowiki') THEN '<nowiki ' ELSE '' END) AS leaked FROM sdv_full WHERE contains(content, '{{') OR contains(content, '[[') OR contains(content, '<nowiki')")

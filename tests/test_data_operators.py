@@ -145,3 +145,52 @@ def test_data_pages(spark, tmp_path):
     code = spark.createDataFrame([(1, "return {a=1}"), (2, "x"), (3, None)], "id int, code string")
     assert {r["id"]: r["json"] for r in site.lua_tables(code, "id", "code").collect()} == {1: '{"a": 1}', 2: None, 3: None}
     assert site.lua_enums(spark.createDataFrame([(1, 'p.T = {"a"}')], "id int, code string"), "id", "code").first()["label"] == "a"
+
+
+def test_zim(spark, tmp_path):
+    import struct
+
+    import zstandard
+
+    from lorespark.sources import zim
+
+    def cluster(items, kind):
+        at = [4 * (len(items) + 1)]
+        for x in items:
+            at.append(at[-1] + len(x))
+        data = struct.pack(f"<{len(at)}I", *at) + b"".join(items)
+        return bytes([kind]) + (zstandard.ZstdCompressor().compress(data) if kind == 5 else data)
+
+    mimes = b"text/html\0image/png\0\0"
+    clusters = [cluster([b"<p>a</p>", b"<p>b</p>"], 5), cluster([b"PNG"], 1)]
+    dirents = [struct.pack("<HBcIII", m, 0, b"C", 0, c, b) + u + b"\0\0" for m, c, b, u in ((0, 0, 0, b"a"), (0, 0, 1, b"b"), (1, 1, 0, b"i.png"))] + [struct.pack("<HBcII", 0xFFFF, 0, b"C", 0, 0) + b"r\0\0"]
+    mime_at = zim.HEADER.size
+    at = mime_at + len(mimes)
+    dirent_at = []
+    for d in dirents:
+        dirent_at.append(at)
+        at += len(d)
+    url_at, at = at, at + 8 * len(dirents)
+    cluster_ptr, at = at, at + 16
+    cluster_at = [at, at + len(clusters[0])]
+    end = at + sum(map(len, clusters))
+    head = zim.HEADER.pack(zim.MAGIC, 5, 0, b"\0" * 16, len(dirents), 2, url_at, 0, cluster_ptr, mime_at, 0, 0, end)
+    path = tmp_path / "x.zim"
+    path.write_bytes(head + mimes + b"".join(dirents) + struct.pack(f"<{len(dirents)}Q", *dirent_at) + struct.pack("<2Q", *cluster_at) + b"".join(clusters) + b"sum")
+    assert {(r["url"], bytes(r["content"])) for r in zim.files(spark, str(path)).collect()} == {("a", b"<p>a</p>"), ("b", b"<p>b</p>"), ("i.png", b"PNG")}
+    assert zim.files(spark, str(path), "image/").count() == 1 and zim.entries(spark, str(path)).where("redirect = 0").count() == 1
+    (tmp_path / "bad").write_bytes(b"x" * 100)
+    with pytest.raises(ValueError):
+        zim.header(str(tmp_path / "bad"))
+
+
+def test_split_pages_and_numbers(spark):
+    from lorespark.functions.ranking import number_rows
+    from lorespark.operators.tables import split_pages
+
+    rows = [("big", i, t) for i, t in enumerate(["intro", "== A ==", "* 1", "* 2", "* 3", "== A ==", "x"])] + [("small", 0, "== A =="), ("small", 1, None)]
+    got = {(r["d"], r["part"]): (r["label"], r["lines"]) for r in split_pages(spark.createDataFrame(rows, "d string, n int, t string"), "d", "n", "t", limit=20, items=2).collect()}
+    assert got[("small", 0)] == ("A", ["== A ==", ""]) and got[("big", 0)] == ("", ["intro"]) and got[("big", 1)] == ("A", ["== A ==", "* 1", "* 2"]) and got[("big", 2)] == ("", ["* 3"]) or got[("big", 2)][1] == ["* 3"]
+    assert got[("big", 3)] == ("A (2)", ["== A ==", "x"])
+    nums = number_rows(spark.createDataFrame([("h", i) for i in range(50)] + [(None, 3), (None, None)], "k string, o bigint"), ["k"], "o", width=7)
+    assert {(r["k"], r["o"]): r["n"] for r in nums.collect()} == {("h", i): i + 1 for i in range(50)} | {(None, None): 1, (None, 3): 2}

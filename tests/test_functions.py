@@ -155,3 +155,14 @@ def test_parsers_take_any_text(text):
 def test_round_trip_of_comparators():
     assert math.isclose(X.evaluate(("round", ("num", 2.345), ("num", 2.0))), 2.35)
     assert functools.cmp_to_key(natural)("a2") < functools.cmp_to_key(natural)("a10")
+
+
+def test_html_inside_wikitext():
+    rows = W.nodes("<div class=x>\n== H ==\n* a\n</div>after\n<ul><li>p<li>q</ul>\n<table><tr><td>c</table>")
+    assert [(r["kind"], r["depth"], r["text"]) for r in rows] == [("container", 0, ""), ("heading", 1, "H"), ("bullet_list", 1, ""), ("item", 2, "a"), ("paragraph", 0, "after"), ("bullet_list", 0, ""), ("item", 1, "p"), ("item", 1, "q"), ("table", 0, ""), ("cell", 1, "c")]
+    assert len(W.nodes("<div>" * 300 + "x")) > 0
+
+
+def test_colours(spark):
+    rows = spark.createDataFrame([("#000000",), ("#ffffff",), ("red",), (None,)], "c string").select(S.lighter_colour(F.col("c")).alias("d")).collect()
+    assert [r["d"] for r in rows] == ["#999999", "#ffffff", "red", None]
