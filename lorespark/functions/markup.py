@@ -6,9 +6,10 @@ import html
 import re
 from urllib.parse import unquote
 
-#: Regions whose content is no markup: comments, nowiki and code blocks.
+#: Regions whose content is no markup: comments (also whole LaTeX comment lines), nowiki and code blocks.
 OPAQUE = re.compile(
     r"<!--.*?(?:-->|\Z)"
+    r"|^[ \t]*%[^\n]*"
     r"|<nowiki>.*?</nowiki\s*>"
     r"|<(pre|source|syntaxhighlight)\b[^>]*>.*?</\1\s*>"
     r"|^[ \t]*(```|~~~)[^\n]*\n.*?^[ \t]*\2[`~]*[ \t]*\r?$"
@@ -29,7 +30,7 @@ _MODULE = re.compile(r"""\b(?:require|loadData)\s*\(?\s*(?:"([^"\n]+)"|'([^'\n]+
 
 
 def without_opaque(text: str) -> str:
-    if "<" in text or "`" in text or "~" in text or "\\" in text:
+    if "<" in text or "`" in text or "~" in text or "\\" in text or "%" in text:
         return OPAQUE.sub("\n", text)
     return text
 

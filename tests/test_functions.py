@@ -84,7 +84,9 @@ def test_canonical_titles(spark):
 
 
 def test_references():
-    text = """{{Box|1={{{1|}}}}} [[A|b]] [[/Sub/]] [[fr:X]] [[#s]] {{#invoke: Mod |f}} {{#if:x|{{Inner}}}} {{PAGENAME}} <!-- [[No]] --> <nowiki>{{No}}</nowiki>
+    text = """{{Box|1={{{1|}}}}} [[A|b]] [[/Sub/]] [[fr:X]] [[#s]] {{#invoke: Mod |f}} {{#if:x|{{Inner}}}} {{PAGENAME}} <!-- [[No]] -->
+% \\href{/wiki/No}{x}
+<nowiki>{{No}}</nowiki>
 <pre>[[No]]</pre> <a href="/wiki/H_%28x%29">h</a> <A HREF='/wiki/Q'>q</A> [m](/wiki/M%3F) \\href{/wiki/L\\_x}{l} [[{{{1}}}]]
 <gallery>
 File:g.png|cap
