@@ -253,7 +253,7 @@ def parse(text: str) -> Tree:
     if "\x00" in text or "\x01" in text:
         text = text.replace("\x00", " ").replace("\x01", " ")
     opaque: list[str] = []
-    if "<" in text or "`" in text or "~" in text or "\\" in text:
+    if "<" in text or "`" in text or "~" in text or "\\" in text or "%" in text:
 
         def hide(m: re.Match) -> str:
             opaque.append(m[0])
@@ -264,6 +264,8 @@ def parse(text: str) -> Tree:
     for raw in opaque:
         if raw.startswith("<!--"):
             at, inside = tree.add(COMMENT, 0, raw), raw[4:].removesuffix("-->")
+        elif raw.lstrip(" \t").startswith("%"):
+            at, inside = tree.add(COMMENT, 0, raw), raw.lstrip(" \t%")
         elif raw[:7].lower() == "<nowiki":
             at, inside = tree.add(NOWIKI, 0, raw), raw[raw.index(">") + 1 : raw.rindex("<")]
         else:

@@ -62,6 +62,11 @@ $$
 * gone -->
 <nowiki>* gone</nowiki>
 
+% \\section{gone}
+
+A 50
+% chance
+
 3 * 4 * 5 == 60 and 1 - 2
 
 [[Category:X]]"""
