@@ -29,6 +29,9 @@ _LATEX_ESCAPE = re.compile(r"\\([_%&#$~^{}])")
 _MODULE = re.compile(r"""\b(?:require|loadData)\s*\(?\s*(?:"([^"\n]+)"|'([^'\n]+)')""")
 
 
+_LUA_COMMENT = re.compile(r"--\[(=*)\[.*?\]\1\]|--[^\n]*", re.S)
+
+
 def without_opaque(text: str) -> str:
     if "<" in text or "`" in text or "~" in text or "\\" in text or "%" in text:
         return OPAQUE.sub("\n", text)
@@ -36,8 +39,8 @@ def without_opaque(text: str) -> str:
 
 
 def module_references(text: str) -> list[str]:
-    """Modules that module code loads."""
-    return [a or b for a, b in _MODULE.findall(text)]
+    """Modules that module code loads, comments left out."""
+    return [a or b for a, b in _MODULE.findall(_LUA_COMMENT.sub("", text) if "--" in text else text)]
 
 
 def references(text: str, title: str | None) -> list[str]:

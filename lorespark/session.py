@@ -72,13 +72,20 @@ def local_session(cpus: int | None = None, app: str = "lorespark") -> SparkSessi
     )
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder; what lies there is removed when the program ends."""
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = jpath.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.deleteOnExit(jpath)
+    return path
+
+
 def materialise(df: DataFrame, tidy: bool = True) -> DataFrame:
     """Writes `df` as a table in the shared folder and reads it back; it is removed when the program ends."""
-    path = f"{shared_dir(df.sparkSession)}/table-{uuid.uuid4().hex}"
-    df.write.parquet(path)
     spark = df.sparkSession
-    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
-    jpath.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(jpath)
+    path = scratch(spark, "table")
+    df.write.parquet(path)
     if tidy:
         spark._jvm.System.gc()  # lets Spark remove the shuffle files that led here
     return spark.read.schema(df.schema).parquet(path)

@@ -97,7 +97,7 @@ File:g.png|cap
 """
     got = markup.references(text, "\u200eParent ")
     assert set(got) == {"Template:Box", "A", "Parent/Sub", "#s", "Module:Mod", "Template:Inner", "H_(x)", "Q", "M?", "L_x", "File:g.png"}
-    assert markup.module_references("require('Module:A') mw.loadData(\"Module:B\")") == ["Module:A", "Module:B"]
+    assert markup.module_references("require('Module:A') mw.loadData(\"Module:B\") -- require('Module:C')\n--[[ require('Module:D') ]]") == ["Module:A", "Module:B"]
 
 
 def test_templates():
