@@ -74,11 +74,11 @@ def local_session(cpus: int | None = None, app: str = "lorespark") -> SparkSessi
 
 def scratch(spark: SparkSession, name: str) -> str:
     """A new path in the shared folder; what lies there is removed when the program ends."""
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = jpath.getFileSystem(spark._jsc.hadoopConfiguration())
-    fs.deleteOnExit(jpath)
-    return path
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}")
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(folder)
+    fs.deleteOnExit(folder)  # registers only what exists
+    return f"{folder.toString()}/data"
 
 
 def materialise(df: DataFrame, tidy: bool = True) -> DataFrame:
