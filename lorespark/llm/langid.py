@@ -22,6 +22,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lorespark.session import ship
+
 # The languages and the spellings of their labels.
 LABELS = {
     "de": ["de", "deu", "ger", "german"],
@@ -240,6 +242,7 @@ def detect(df: DataFrame, id_col: str, text_col: str, label_col: str, filters: F
     that the label does not name exactly the one language of the text. Texts that are null,
     blank or without a sentence have no language and need no label.
     """
+    ship(df.sparkSession)
     filters = filters or train(training_rows(df, id_col, text_col, label_col))
     kind = df.schema[id_col].dataType.simpleString()
     schema = f"item_key {kind}, languages array<struct<lang:string,share:double,confidence:double>>, segments array<struct<seg_start:int,seg_end:int,lang:string,confidence:double>>, relabel boolean"

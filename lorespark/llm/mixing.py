@@ -81,9 +81,8 @@ class Mixture:
         """(mix, slot, source, epoch, block) of every slot, ranks per source taken chunk by chunk."""
         parts = []
         for mix, p in self.plans.items():
-            at = F.pmod(F.col("id") % F.lit(2**32) * F.lit(GOLDEN), F.lit(2**32)) / F.lit(float(2**32))
-            if p["slots"] >= 2**31:
-                raise ValueError("choose larger blocks: a mix has at most 2^31 slots")
+            high, low = F.shiftright("id", 16) % 65536, F.col("id") % 65536  # the product of whole ids would overflow
+            at = ((high * GOLDEN % 65536) * 65536 + low * GOLDEN) % F.lit(2**32) / F.lit(float(2**32))
             edge, source, limit, k = 0.0, F.lit(None).cast("string"), F.lit(None).cast("bigint"), F.lit(None).cast("bigint")
             cuts = []
             for s, w, l in zip(p["sources"], p["weights"], p["limits"]):

@@ -15,7 +15,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lorespark.session import materialise
+from lorespark.session import materialise, ship
 
 #: Items that one task packs, and the share of the capacity that a nearly full bin may leave empty.
 TASK_ITEMS = 40_000
@@ -105,6 +105,7 @@ def pack(sizes: DataFrame, id_col: str, size_col: str, profiles: dict[str, tuple
     """
     if any(c <= 0 or s < 0 for c, s in profiles.values()):
         raise ValueError("capacities must be positive and separators not negative")
+    ship(sizes.sparkSession)
     items = sizes.select(F.col(id_col).alias("item"), F.col(size_col).cast("bigint").alias("size"))
     schema = f"profile string, used bigint, container string, members {_MEMBERS.format(items.schema['item'].dataType.simpleString())}"
     full = F.lit(None).cast("bigint")

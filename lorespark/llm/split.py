@@ -14,6 +14,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lorespark.session import ship
+
 LIMIT = 6000
 OVERLAP = 200
 
@@ -103,6 +105,7 @@ def split_oversized(df: DataFrame, id_col: str, text_col: str, limit: int = LIMI
     The length is that of the text itself, whatever a size column says. Null texts and texts
     within the limit give no row; repeated rows give repeated results; null ids stay null.
     """
+    ship(df.sparkSession)
     kind = df.schema[id_col].dataType.simpleString()
     over = df.select(F.col(id_col).alias("item_key"), F.col(text_col).alias("t")).where(F.length("t") > limit)
     return over.mapInArrow(_cut(limit, overlap), f"item_key {kind}, cut string, pieces array<struct<piece_no:int,piece_start:int,piece:string>>")

@@ -17,6 +17,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lorespark.session import ship
+
 #: Terms are runs of letters of any script.
 LETTERS = regex.compile(r"\p{L}+")
 #: Soft hyphen and zero-width space are no part of a term.
@@ -74,6 +76,7 @@ def term_counts(df: DataFrame, text_col: str, table_limit: int = TABLE_LIMIT) ->
 
     Null and empty texts hold no term. Repeated rows count as often as they occur.
     """
+    ship(df.sparkSession)
     partial = df.select(F.col(text_col)).mapInArrow(_counters(table_limit), "term string, n bigint, r bigint")
     return partial.groupBy("term").agg(F.sum("n").alias("occurrences"), F.sum("r").alias("records"))
 

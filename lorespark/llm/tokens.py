@@ -11,6 +11,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lorespark.session import ship
+
 #: Vocabulary file with one base64 token and its rank a line.
 DEFAULT_VOCABULARY = os.environ.get("LORESPARK_VOCABULARY", "/opt/tokenizers/byte_bpe_multi_50k.tiktoken")
 # Fixed value: the public pattern that cuts text before byte pairs are merged.
@@ -42,6 +44,7 @@ def _count(path: str):
 
 def token_sizes(df: DataFrame, keep: list[str], text_col: str, vocabulary: str = DEFAULT_VOCABULARY) -> DataFrame:
     """The columns `keep` and `n_tokens` of each row; null for a null text, 0 for an empty one."""
+    ship(df.sparkSession)
     kinds = dict(df.dtypes)
     schema = ", ".join([*(f"`{c}` {kinds[c]}" for c in keep), "n_tokens bigint"])
     return df.select(*keep, F.col(text_col).alias("__text")).mapInArrow(_count(vocabulary), schema)
