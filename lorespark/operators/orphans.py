@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from lorespark.functions import markup
 from lorespark.functions.titles import canonical_title
-from lorespark.session import materialise
+from lorespark.session import materialise, ship
 
 #: A title with more than this share of all references is spread over several tasks; at most
 #: 1 / HOT_SHARE titles can be hot, so their list is small by construction.
@@ -38,6 +38,7 @@ def page_references(dump: DataFrame) -> DataFrame:
 
     Null contents hold no references; a null title is none and has no sub-pages.
     """
+    ship(dump.sparkSession)
     kinds = dict(dump.dtypes)
     rows = dump.select("rec_no", "title", F.col("ns").cast("int"), "content", "dumped_at")
     raw = rows.mapInArrow(_targets, f"rec_no {kinds['rec_no']}, dumped_at {kinds['dumped_at']}, raw array<string>")
