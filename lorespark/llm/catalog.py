@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lorespark.llm import content_model, langid, mixing, neardup, packing, split, termfreq, tokens
+from lorespark.llm.sql_structure import SQL_ELEMENTS
 from lorespark.session import table
 
 
@@ -106,6 +107,7 @@ m AS (SELECT *, CASE WHEN records < 3 THEN 'rare' WHEN records >= 0.2 * (SELECT
 """
 
 SQL = {
+    "p1_found": SQL_ELEMENTS,
     "p6_found": _SQL_TERMS + "SELECT term, mark FROM m WHERE mark <> 'useful'",
     "p6_terms": _SQL_TERMS + "SELECT * FROM m",
     # All records that share a triple meet here, which only small tables allow.
