@@ -3,7 +3,7 @@
 `parse_ask` reads the template form into an `AskQuery`; `AskQuery.rows` compiles it over a
 property table and a page catalogue. By default all conditions hold together, `[[P::+]]` means
 that the property exists, `[[~A/*]]` keeps its slash, and categories filter; `compat=True`
-gives the behaviour of the wiki reader this engine replaces: one candidate source by precedence
+gives the stricter older reading: one candidate source by precedence
 (page, prefix, namespace), `+` as a literal value, the slash dropped, categories ignored.
 """
 
