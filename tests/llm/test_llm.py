@@ -187,6 +187,16 @@ def test_hot_group_is_spread_and_whole(spark):
     assert {tuple(r) for r in near.record_pairs().collect()} == brute_pairs(rows, 3, 0.6, 40)
 
 
+def test_no_pair_at_the_threshold_is_missed(spark):
+    rows = []
+    for i in range(300):  # pairs that share 60 of 100 shingles, 0.6 exactly, and 59 of 101
+        head = [f"a{i}x{k}" for k in range(62 if i % 3 else 61)]
+        tail = 20 if i % 3 else 21
+        rows += [(2 * i + j, " ".join(head + [f"b{i}x{j}x{k}" for k in range(tail)])) for j in range(2)]
+    near = neardup.NearDuplicates(spark.createDataFrame(rows, "id bigint, t string"), "id", "t", 3, 0.6, 40)
+    assert {tuple(r) for r in near.record_pairs().collect()} == {(2 * i, 2 * i + 1) for i in range(300) if i % 3} == brute_pairs(rows, 3, 0.6, 40)
+
+
 def test_near_duplicates_of_nothing(spark):
     df = spark.createDataFrame([], "id bigint, t string")
     assert neardup.NearDuplicates(df, "id", "t").record_pairs().count() == 0
