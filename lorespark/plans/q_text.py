@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lorespark.functions.html_dom import PageRules
 from lorespark.operators import expansion, parsing
 from lorespark.sources import site
 from lorespark.session import table
@@ -27,22 +28,42 @@ def _dump(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "sdv_full")
 
 
+# The SQL of html_headings, link_edges_from_html and wikitext_table_cells knows plain records only; the queries named `_whole` take all.
+def _headings(pages: DataFrame) -> DataFrame:
+    nodes = parsing.html_nodes(pages, "rec_no", "content").where(F.col("tag").rlike("^h[1-6]$"))
+    return nodes.groupBy("rec_no", F.substring("tag", 2, 1).cast("int").alias("level")).agg(F.count("*").alias("n"))
+
+
+def _link_edges(pages: DataFrame) -> DataFrame:
+    links = parsing.html_links(pages, "rec_no", "content", "index.html", PageRules(internal_path="wiki/"))
+    return links.where("kind = 'link'").groupBy("rec_no", "target").agg(F.count("*").alias("n"))
+
+
+def _cell_counts(pages: DataFrame) -> DataFrame:
+    return parsing.wiki_cells(pages, "rec_no", "content").groupBy("rec_no").agg(F.count("*").alias("cells"))
+
+
 @query(r"""WITH h AS (SELECT rec_no, unnest(regexp_extract_all(content, '(?is)<h([1-6])\b[^>]*>.*?</h[1-6]\s*>', 1)) AS level FROM sdv_full WHERE NOT regexp_matches(content, '(?i)<!--|<pre|<nowiki|<source|<syntaxhighlight|<math|<!\[|<\?'))
 SELECT rec_no, CAST(level AS INT) AS level, count(*) AS n FROM h GROUP BY ALL""")
 def html_headings(spark: SparkSession, d: str) -> DataFrame:
-    plain = _dump(spark, d).where(~F.col("content").rlike(r"(?i)<!--|<pre|<nowiki|<source|<syntaxhighlight|<math|<!\[|<\?"))
-    nodes = parsing.html_nodes(plain, "rec_no", "content").where(F.col("tag").rlike("^h[1-6]$"))
-    return nodes.groupBy("rec_no", F.substring("tag", 2, 1).cast("int").alias("level")).agg(F.count("*").alias("n"))
+    return _headings(_dump(spark, d).where(~F.col("content").rlike(r"(?i)<!--|<pre|<nowiki|<source|<syntaxhighlight|<math|<!\[|<\?")))
+
+
+@query()
+def html_headings_whole(spark: SparkSession, d: str) -> DataFrame:
+    return _headings(_dump(spark, d))
 
 
 @query(r"""WITH h AS (SELECT rec_no, unnest(regexp_extract_all(content, '(?i)href="(/wiki/[^"#]*)', 1)) AS target FROM sdv_full WHERE NOT regexp_matches(content, '(?i)<!--|<source|<syntaxhighlight'))
 SELECT rec_no, target, count(*) AS n FROM (SELECT rec_no, substr(target, 2) AS target FROM h) GROUP BY ALL""")
 def link_edges_from_html(spark: SparkSession, d: str) -> DataFrame:
-    from lorespark.functions.html_dom import PageRules
-
     plain = _dump(spark, d).where(~F.col("content").rlike("(?i)<!--|<source|<syntaxhighlight")).withColumn("content", F.regexp_replace("content", "(?i)<a href='[^']*'>", "<a>"))
-    links = parsing.html_links(plain, "rec_no", "content", "index.html", PageRules(internal_path="wiki/"))
-    return links.where("kind = 'link'").groupBy("rec_no", "target").agg(F.count("*").alias("n"))
+    return _link_edges(plain)
+
+
+@query()
+def link_edges_from_html_whole(spark: SparkSession, d: str) -> DataFrame:
+    return _link_edges(_dump(spark, d))
 
 
 @query()
@@ -64,7 +85,12 @@ def wikitext_node_rows(spark: SparkSession, d: str) -> DataFrame:
 SELECT rec_no, CAST(sum(len(regexp_extract_all(t, '(?m)^(?:\| |! )', 0)) + 2 * len(regexp_extract_all(t, '(?m)^! .* !! .* !! ', 0))) AS BIGINT) AS cells FROM t GROUP BY rec_no""")
 def wikitext_table_cells(spark: SparkSession, d: str) -> DataFrame:
     plain = _dump(spark, d).where(~F.col("content").contains("<!--") & ~F.col("content").contains("<nowiki"))
-    return parsing.wiki_cells(plain, "rec_no", "content").groupBy("rec_no").agg(F.count("*").alias("cells"))
+    return _cell_counts(plain)
+
+
+@query()
+def wikitext_table_cells_whole(spark: SparkSession, d: str) -> DataFrame:
+    return _cell_counts(_dump(spark, d))
 
 
 @query()

@@ -152,3 +152,19 @@ def test_footnotes_and_parsing(spark):
     notes = P.number_footnotes(parsing.wiki_footnotes(pages, "page", "content"))
     assert [(r["pos"], r["seq"], r["body"]) for r in notes.orderBy("pos").collect()] == [(0, 1, "body"), (1, 2, "x"), (2, 1, "body")]
     assert parsing.html_nodes(spark.createDataFrame([(1, "<b>x</b>"), (2, None), (3, "")], "id int, t string"), "id", "t").groupBy("id").count().count() == 2
+
+
+def test_whole_dump_queries_keep_hard_records(spark, tmp_path):
+    from lorespark.plans.q_text import QUERIES
+
+    pages = [
+        (1, "<!-- <h2>no</h2> <a href='/wiki/No'>n</a> --><h2>a</h2><H3 id=x>b</H3><a href='/wiki/A#f'>a</a> <a href=\"/wiki/A\">a</a>\n{|\n| a || b\n<!--\n| no\n-->\n|-\n| c\n|}"),
+        (2, "<pre>x</pre><h2>c</h2><source>s</source><a href=/wiki/B>b</a>\n<nowiki>{|\n| no\n|}</nowiki>\n{|\n! d\n|}"),
+        (3, "<h1>d</h1>"),
+        (4, None),
+    ]
+    spark.createDataFrame(pages, "rec_no int, content string").write.parquet(f"{tmp_path}/sdv_full.parquet")
+    rows = lambda name: sorted(tuple(r) for r in QUERIES[name](spark, str(tmp_path)).collect())
+    assert rows("html_headings_whole") == [(1, 2, 1), (1, 3, 1), (2, 2, 1), (3, 1, 1)]
+    assert rows("link_edges_from_html_whole") == [(1, "wiki/A", 2), (2, "wiki/B", 1)]
+    assert rows("wikitext_table_cells_whole") == [(1, 3), (2, 1)]
