@@ -45,6 +45,8 @@ FILTER_BITS, PROBES = 18, 4
 SHARE_OF_BEST = 0.25
 #: A sentence needs this many n-grams, and this estimate for a language, to be in it.
 MIN_GRAMS, MIN_ESTIMATE, MIN_MARGIN = 5, 0.35, 0.05
+#: A smaller margin will do where it is this many standard deviations of the n-grams that tell both languages apart.
+MIN_DEVIATIONS = 3
 _LANE = 24
 _LANE_MAX = (1 << _LANE) - 1
 
@@ -158,6 +160,18 @@ class Filters:
             return "und", best, 0.0
         return LANGS[first], best * best / (best + next_best), best - next_best
 
+    def clear(self, prose: str, lang: str) -> bool:
+        """Whether the n-grams that only one of two languages has speak for `lang` against each other one."""
+        masks = Counter(self.mask(g) for token in _TOKEN.findall(prose.lower()) for g in grams(token))
+        me = LANGS.index(lang)
+        for other in range(len(LANGS)):
+            if other != me:
+                mine = sum(n for m, n in masks.items() if m >> me & 1 and not m >> other & 1)
+                its = sum(n for m, n in masks.items() if m >> other & 1 and not m >> me & 1)
+                if mine <= its or (mine - its) ** 2 < MIN_DEVIATIONS**2 * (mine + its):
+                    return False
+        return True
+
 
 def _members(labelled: list[tuple[str, int]]) -> dict[str, int]:
     """Masks of the n-grams of labelled sentences."""
@@ -188,11 +202,12 @@ def segments(filters: Filters, text: str) -> list[dict]:
     for start, end, prose in sentences(text):
         lang, confidence, margin = filters.decide(prose)
         size = end - start
-        unsure = lang == "und" or margin < MIN_MARGIN
+        unsure = lang == "und" or margin < MIN_MARGIN and not filters.clear(prose, lang)
         if out and (out[-1]["lang"] == lang or unsure):
             last = out[-1]
             last["confidence"] = (last["confidence"] * last["size"] + confidence * size) / (last["size"] + size)
             last["seg_end"], last["size"] = end, last["size"] + size
+            last["unsure"] = last["unsure"] and unsure
         elif out and out[-1]["unsure"]:
             last = out[-1]
             last.update(seg_end=end, lang=lang, confidence=confidence, size=last["size"] + size, unsure=unsure)

@@ -328,6 +328,35 @@ def test_languages(spark):
     assert langid.detect(df.limit(0), "id", "text", "lang").count() == 0
 
 
+class _Decided:
+    """Sentences that name their language; a question mark makes the margin small, two leave it unclear."""
+
+    def decide(self, prose):
+        return prose.split()[0], 0.9, 0.01 if "?" in prose else 0.5
+
+    def clear(self, prose, lang):
+        return "??" not in prose
+
+
+def test_a_certain_language_is_not_renamed():
+    langs = lambda text: [s["lang"] for s in langid.segments(_Decided(), text)]
+    assert langs("es uno dos tres??\n" + "es uno dos tres.\n" * 10 + "en one two three.") == ["es", "en"]
+    assert langs("es uno dos tres??\nen one two three.") == ["en"]
+    assert langs("es uno dos tres.\npt um dois tres?\nes uno dos tres.") == ["es", "pt", "es"]
+    assert langs("es uno dos tres.\npt um dois tres??\nes uno dos tres.") == ["es"]
+
+
+def test_a_small_margin_is_clear_if_all_that_tells_apart_agrees():
+    shared = [f"^{c}{d}$" for c in "abcdefgh" for d in "ijklmnop"] * 4
+    es, pt = (1 << langid.LANGS.index(k) for k in ("es", "pt"))
+    only = [f"^z{c}$" for c in "abcdefghij"]
+    filters = langid.Filters.fill({g: es | pt for g in shared} | {g: pt for g in only})
+    text = " ".join(g[1:3] for g in shared + only)
+    lang, _, margin = filters.decide(text)
+    assert lang == "pt" and margin < langid.MIN_MARGIN and filters.clear(text, "pt") and not filters.clear(text, "es")
+    assert not filters.clear(" ".join(g[1:3] for g in shared), "pt")
+
+
 def test_labels():
     assert [langid.label_code(x) for x in ("EN", "zh_Hans", "deu", "French", "pt-BR", "??", "", None, "unknown", "Chinese (Simplified)", "xx")] == ["en", "zh", "de", "fr", "pt", None, None, None, None, "zh", None]
 
