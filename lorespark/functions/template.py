@@ -129,7 +129,7 @@ class Expander:
         return run.text(text, {}, ()), run.props
 
     def find(self, name: str) -> str | None:
-        name = name.strip().replace("_", " ")
+        name = " ".join(name.replace("_", " ").split())
         first = name[:1]
         for n in (name, first.upper() + name[1:], first.lower() + name[1:]):
             if n in self.templates:

@@ -10,9 +10,8 @@ from pyspark.sql import functions as F
 
 from lorespark.functions.strings import without_namespace
 from lorespark.functions.template import Expander
-from lorespark.operators import graph
-from lorespark.operators.census import PATTERNS
-from lorespark.session import ship
+from lorespark.functions.titles import clean_title, uc_first
+from lorespark.session import materialise, ship
 
 #: Template sources up to this many characters go to the executors as a whole.
 BROADCAST_CHARS = 32 * 1024 * 1024
@@ -39,27 +38,59 @@ def _expand(shared: dict[str, str] | None):
     return run
 
 
-def expand_pages(pages: DataFrame, templates: DataFrame, limit: int = BROADCAST_CHARS) -> DataFrame:
+class _Asked(dict):
+    """Templates that keep the names asked for in vain."""
+
+    def __init__(self, items):
+        super().__init__(items)
+        self.missed: set[str] = set()
+
+    def __contains__(self, name: object) -> bool:
+        if super().__contains__(name):
+            return True
+        self.missed.add(name)
+        return False
+
+
+def _missed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        missed = []
+        for title, text, needed in zip(*(batch.column(k).to_pylist() for k in (1, 2, 3))):
+            have = _Asked(needed or [])
+            Expander(have).expand(text, title or "")
+            missed.append(sorted(have.missed))
+        yield pa.record_batch([batch.column(0), pa.array(missed, pa.list_(pa.string()))], names=["id", "names"])
+
+
+def expand_pages(pages: DataFrame, templates: DataFrame, limit: int = BROADCAST_CHARS, order_col: str | None = None) -> DataFrame:
     """(title, expanded, props) of pages (title, content) with templates (title, content).
 
-    The size of the templates is checked: small ones are shipped once, beyond `limit` characters
-    each page is joined with just those it calls, directly or through others. That way knows
-    calls by a written name only; a name that is itself computed stays unexpanded.
+    Of templates whose titles are alike but for underscores, spaces and the case of the first letter
+    the one with the greatest `order_col` is taken. The size of the templates is checked: small ones
+    are shipped once. Beyond `limit` characters each page gets just those it calls: in rounds, pages
+    are expanded and the names asked for in vain are joined, until none of them is a template.
     """
     ship(pages.sparkSession)
-    named = templates.where("content IS NOT NULL").select(without_namespace(F.col("title")).alias("name"), "content").groupBy("name").agg(F.min("content").alias("content"))
+    pick = F.max_by("content", order_col) if order_col else F.min("content")
+    named = templates.where("content IS NOT NULL").groupBy(uc_first(clean_title(without_namespace(F.col("title")))).alias("name")).agg(pick.alias("content"))
     size = named.agg(F.coalesce(F.sum(F.length("content")), F.lit(0)).alias("n")).first()["n"]
     if size <= limit:
         shared = {r["name"]: r["content"] for r in named.collect()}
         return pages.select("title", "content").mapInArrow(_expand(shared), _RESULT)
-    calls = lambda df, key: df.select(F.col(key).alias("src"), F.explode(F.array_distinct(F.regexp_extract_all("content", F.lit(PATTERNS["template"]), 1))).alias("dst"))
-    form = lambda c: F.concat(F.upper(F.substring(c, 1, 1)), F.substr(c, F.lit(2)))
-    deps = calls(named, "name").select(form(F.col("src")).alias("src"), form(F.col("dst")).alias("dst"))
-    reach = graph.closure(deps).unionByName(named.select(form(F.col("name")).alias("src"), form(F.col("name")).alias("dst"))).distinct()
-    direct = calls(pages, "title").select(F.col("src").alias("title"), form(F.col("dst")).alias("src"))
-    needed = direct.join(reach, "src").select("title", F.col("dst").alias("k")).distinct().join(named.select(form(F.col("name")).alias("k"), "name", F.col("content").alias("body")), "k")
-    per_page = needed.groupBy("title").agg(F.map_from_entries(F.collect_set(F.struct("name", "body"))).alias("needed"))  # at most the templates one page calls
-    return pages.select("title", "content").join(per_page, "title", "left").mapInArrow(_expand(None), _RESULT)
+    named = materialise(named)
+    pages = materialise(pages.select(F.monotonically_increasing_id().alias("id"), "title", "content"))
+    state = pages.withColumn("needed", F.lit(None).cast("map<string,string>"))
+    calls = None
+    todo = state.where("content IS NOT NULL")
+    while True:
+        missed = todo.mapInArrow(_missed, "id bigint, names array<string>").select("id", F.explode("names").alias("name"))
+        found = materialise(missed.join(named.select("name"), "name", "left_semi").select("id", "name"))
+        if found.isEmpty():
+            return state.select("title", "content", "needed").mapInArrow(_expand(None), _RESULT)
+        calls = found if calls is None else materialise(calls.unionByName(found))
+        per_page = calls.join(named, "name").groupBy("id").agg(F.map_from_entries(F.collect_list(F.struct("name", "content"))).alias("needed"))  # at most the templates one page calls
+        state = materialise(pages.join(per_page, "id", "left"))
+        todo = state.join(found.select("id").distinct(), "id", "left_semi")
 
 
 def expanded_properties(expanded: DataFrame) -> DataFrame:

@@ -101,7 +101,7 @@ def wikitext_link_rows(spark: SparkSession, d: str) -> DataFrame:
 @query()
 def template_expansion(spark: SparkSession, d: str) -> DataFrame:
     dump = _dump(spark, d)
-    return expansion.expand_pages(dump.where("ns = 0"), dump.where("ns = 10")).select("title", "expanded")
+    return expansion.expand_pages(dump.where("ns = 0"), dump.where("ns = 10").withColumn("newest", F.struct("dumped_at", "rec_no")), order_col="newest").select("title", "expanded")
 
 
 @query()

@@ -147,6 +147,15 @@ def test_expansion_ways_agree(spark):
     assert filled.first()["expanded"] == "x \n{| t\n|}\n y "
 
 
+def test_both_ways_of_expansion_know_every_name(spark):
+    templates = spark.createDataFrame([("Template:Long_name", "old", 1), ("模板:Long name", "new", 2), ("Template:A:B", "ab", 1), ("Template:Call", "{{{{{1}}}}}", 1), ("Template:Deep", "<{{long_name}}>", 1)], "title string, content string, at int")
+    pages = spark.createDataFrame([("p", "{{Template:Long name}} {{模板:long_name}} {{A:B}} {{call|deep}} {{None}}"), ("q", "{{Long_name}}"), ("q", "{{deep}}"), ("r", None)], "title string, content string")
+    want = [("p", "new new ab <new> {{None}}"), ("q", "<new>"), ("q", "new"), ("r", "None")]
+    for limit in (expansion.BROADCAST_CHARS, 0):
+        got = sorted((str(r["title"]), str(r["expanded"])) for r in expansion.expand_pages(pages, templates, limit, "at").collect())
+        assert got == want
+
+
 def test_footnotes_and_parsing(spark):
     pages = spark.createDataFrame([(1, 'a<ref name="n"/> b<ref>x</ref> c<ref name="n">body</ref>'), (2, None)], "page int, content string")
     notes = P.number_footnotes(parsing.wiki_footnotes(pages, "page", "content"))
