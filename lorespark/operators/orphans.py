@@ -2,8 +2,8 @@
 
 State is kept by target title: the first listing of the parent and the last deletion or
 restoration. References probe it in the order of time; one that finds no live parent is pending.
-`resolve` folds a whole history at once, `streaming.pending_orphans` applies the same rules batch
-by batch.
+`evaluate` folds the events it is given; `streaming.pending_orphans` keeps the state and gives it
+those of a batch, `resolve` a whole history at once.
 """
 
 from __future__ import annotations
@@ -46,13 +46,13 @@ def page_references(dump: DataFrame) -> DataFrame:
     return raw.select("rec_no", "dumped_at", F.explode(targets).alias("ref_title")).where("ref_title <> ''")
 
 
-def page_catalogue(manifest: DataFrame, core_pages: DataFrame, images: DataFrame) -> DataFrame:
-    """(ref_title, first_listed) of everything that is or was ever listed, one row per title."""
+def page_listings(manifest: DataFrame, core_pages: DataFrame, images: DataFrame) -> DataFrame:
+    """(ref_title, first_listed) of every listing of a page or an image."""
     pages = manifest.where("title <> '' AND path <> ''").select(F.col("title").alias("t"), "listed_at")
     core = core_pages.where("title <> ''").select(F.col("title").alias("t"), "listed_at")
     files = images.where("name <> '' AND path <> ''").select(F.concat(F.lit("File:"), F.col("name")).alias("t"), "listed_at")
     rows = pages.unionByName(core).unionByName(files).select(canonical_title(F.col("t")).alias("ref_title"), "listed_at")
-    return rows.where("ref_title <> ''").groupBy("ref_title").agg(F.min("listed_at").alias("first_listed"))
+    return rows.where("ref_title <> ''").withColumnRenamed("listed_at", "first_listed")
 
 
 def deletion_log(page_log: DataFrame) -> DataFrame:
@@ -68,13 +68,20 @@ def status_of(listed: Column, first_listed: Column, deleted: Column, at: Column)
 
 
 def resolve(refs: DataFrame, parents: DataFrame, log: DataFrame, hot_share: float = HOT_SHARE) -> DataFrame:
-    """(rec_no, dumped_at, ref_title, status) of the references that do not hold.
+    """(rec_no, dumped_at, ref_title, status) of the references that do not hold, from a whole history."""
+    return evaluate(materialise(refs), parents, log, hot_share).where("status IS NOT NULL").drop("again")
 
-    All events of a title meet in one ordered fold: its parent first, then the log and the
+
+def evaluate(refs: DataFrame, parents: DataFrame, log: DataFrame, hot_share: float = HOT_SHARE) -> DataFrame:
+    """(rec_no, dumped_at, ref_title, again, status) of references that are stored; the status of one that holds is null.
+
+    A title may have several parents, of which the earliest counts. `again` is taken over where
+    there is such a column. All events of a title meet in one ordered fold: its parent first, then the log and the
     references by time, the log first on ties and the greater log_id last. References of a hot
     title are spread over salts, and only its parent and log are copied to each of them.
     """
-    refs = materialise(refs)
+    if "again" not in refs.columns:
+        refs = refs.withColumn("again", F.lit(None).cast("boolean"))
     per_title = refs.groupBy("ref_title").agg(F.count("*").alias("n"))
     total = refs.count()
     hot = per_title.where(F.col("n") > total * hot_share).select("ref_title", F.ceil(F.col("n") / F.lit(max(1.0, total * hot_share))).cast("int").alias("salts"))
@@ -87,22 +94,22 @@ def resolve(refs: DataFrame, parents: DataFrame, log: DataFrame, hot_share: floa
         return joined.withColumn("salt", F.explode(F.when(F.col("salts").isNull(), F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), F.col("salts") - 1)))).drop("salts")
 
     time = dict(refs.dtypes)["dumped_at"]
-    nothing = {"rec_no": dict(refs.dtypes)["rec_no"], "at": time, "listed": "boolean", "first_listed": time, "deleted": "boolean", "log_id": "bigint", "is_ref": "boolean"}
+    nothing = {"rec_no": dict(refs.dtypes)["rec_no"], "at": time, "listed": "boolean", "first_listed": time, "deleted": "boolean", "log_id": "bigint", "is_ref": "boolean", "again": "boolean"}
 
     def event(df: DataFrame, **given: Column) -> DataFrame:
         return df.select("ref_title", "salt", *[given.get(k, F.lit(None)).cast(t).alias(k) for k, t in nothing.items()])
 
     events = (
-        event(salted(refs, True), rec_no=F.col("rec_no"), at=F.col("dumped_at"), is_ref=F.lit(True))
+        event(salted(refs, True), rec_no=F.col("rec_no"), at=F.col("dumped_at"), is_ref=F.lit(True), again=F.col("again"))
         .unionByName(event(salted(parents, False), listed=F.lit(True), first_listed=F.col("first_listed")))
         .unionByName(event(salted(log, False), at=F.col("logged_at"), deleted=F.col("deleted"), log_id=F.col("log_id")))
     )
     order = [F.col("listed").desc_nulls_last(), F.col("at").asc_nulls_first(), F.col("is_ref").asc_nulls_first(), F.col("log_id").asc_nulls_first()]
     state = Window.partitionBy("ref_title", "salt").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     last = lambda c: F.last(c, ignorenulls=True).over(state)
-    folded = events.select("rec_no", F.col("at").alias("dumped_at"), "ref_title", "is_ref", last("listed").alias("l"), last("first_listed").alias("f"), last("deleted").alias("d"))
+    folded = events.select("rec_no", F.col("at").alias("dumped_at"), "ref_title", "is_ref", "again", last("listed").alias("l"), F.min("first_listed").over(state).alias("f"), last("deleted").alias("d"))
     status = status_of(F.col("l"), F.col("f"), F.col("d") & F.col("dumped_at").isNotNull(), F.col("dumped_at"))
-    return folded.where("is_ref").select("rec_no", "dumped_at", "ref_title", status.alias("status")).where("status IS NOT NULL")
+    return folded.where("is_ref").select("rec_no", "dumped_at", "ref_title", "again", status.alias("status"))
 
 
 def snapshot(orphans: DataFrame) -> DataFrame:

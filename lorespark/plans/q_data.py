@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from lorespark.operators import orphans
 from lorespark.operators import smallfiles as sf
 from lorespark.session import table
+from lorespark.streaming.pending_orphans import PendingOrphans, by_period
 
 
 def _files(spark: SparkSession, d: str) -> DataFrame:
@@ -27,18 +28,21 @@ def p5_ranges(spark: SparkSession, d: str) -> DataFrame:
     return sf.bundle_ranges(p5_plan(spark, d))
 
 
-def _orphans(spark: SparkSession, d: str) -> DataFrame:
+def _state(spark: SparkSession, d: str) -> tuple[PendingOrphans, int]:
+    """The pending orphans after a batch for every month."""
     refs = orphans.page_references(table(spark, d, "sdv_full"))
-    parents = orphans.page_catalogue(table(spark, d, "manifest"), table(spark, d, "core_pages"), table(spark, d, "images_manifest"))
-    return orphans.resolve(refs, parents, orphans.deletion_log(table(spark, d, "page_log")))
+    parents = orphans.page_listings(table(spark, d, "manifest"), table(spark, d, "core_pages"), table(spark, d, "images_manifest"))
+    return by_period(refs, parents, orphans.deletion_log(table(spark, d, "page_log")))
 
 
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
-    return _orphans(spark, d).select("rec_no", "ref_title", "status").distinct()
+    state, version = _state(spark, d)
+    return state.orphans(version).select("rec_no", "ref_title", "status").distinct()
 
 
 def p4_snapshot(spark: SparkSession, d: str) -> DataFrame:
-    return orphans.snapshot(_orphans(spark, d))
+    state, version = _state(spark, d)
+    return state.snapshot(version)
 
 
 _SQL_FILES = r"""

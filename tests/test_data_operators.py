@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from lorespark.operators import orphans, smallfiles
 from lorespark.sources import sinks, site
-from lorespark.streaming.pending_orphans import PendingOrphans
+from lorespark.streaming.pending_orphans import EVENTS, MissingVersion, PendingOrphans, as_events, by_period
 
 DAY = dt.datetime(2024, 5, 1)
 
@@ -63,29 +63,55 @@ def test_orphans_of_empty_tables(spark):
     assert orphans.resolve(*r).first()["status"] == "missing"
 
 
+def found(df):
+    return {(r["rec_no"], r["ref_title"], r["status"]) for r in df.collect()}
+
+
 def test_pending_orphans_in_any_order(spark, tmp_path):
     refs, parents, log = history(2)
     whole = brute(refs, parents, log)
     state = PendingOrphans(spark, str(tmp_path / "state"))
     batches = [(refs[:100], parents[3:], log[30:]), (refs[100:], [], []), ([], parents[:3], log[:30])]
     for v, (a, b, c) in enumerate(batches, 1):
-        got = state.apply(v, *frames(spark, a, b, c))
-    assert {(r["rec_no"], r["ref_title"], r["status"]) for r in got.collect()} == whole
-    again = state.apply(3, *frames(spark, *batches[2]))  # a repeated batch changes nothing
-    assert again.count() == len(whole)
+        state.apply(v, *frames(spark, a, b, c))
+        assert found(state.orphans(v)) == brute(*(sum((list(x[i]) for x in batches[:v]), []) for i in range(3)))
+    state.apply(3, *frames(spark, *batches[2]))  # a repeated batch changes nothing
+    assert found(state.orphans(3)) == whole
     assert state.snapshot(3).agg(F.sum("orphan_refs")).first()[0] == len(whole)
+    state.compact(3)
+    assert found(state.orphans(3)) == whole and len(list((tmp_path / "state" / "refs").iterdir())) == 1
+    state.apply(4, *frames(spark, [(999, at(1), "T7"), (999, at(1), "New")], [("T7", at(0)), ("New", at(40))], []))
+    assert found(state.orphans(4)) == brute(refs + [(999, at(1), "T7"), (999, at(1), "New")], parents + [("T7", at(0)), ("New", at(40))], log)
+
+
+def test_a_gap_in_the_state_is_an_error(spark, tmp_path):
+    state = PendingOrphans(spark, str(tmp_path / "state"))
+    state.apply(1, *frames(spark, [(1, at(0), "A")], [], []))
+    with pytest.raises(MissingVersion):
+        state.apply(3, *frames(spark, [], [], []))
+    with pytest.raises(MissingVersion):
+        state.orphans(2)
+
+
+def test_pending_orphans_by_period(spark):
+    refs, parents, log = history(5)
+    r, p, l = frames(spark, refs, parents, log)
+    state, version = by_period(r, p, l, "yyyy-MM-dd")
+    assert version == 3 and found(state.orphans(version)) == brute(refs, parents, log) == found(orphans.resolve(r, p, l))
+    state, version = by_period(*frames(spark, [], [], []))
+    assert version == 0 and found(state.orphans(0)) == set()
 
 
 def test_pending_orphans_stream(spark, tmp_path):
+    """References, listings and log entries arrive as a stream, listings and deletions last."""
     refs, parents, log = history(3)
-    r, p, l = frames(spark, refs, parents, log)
     src = str(tmp_path / "in")
-    r.repartition(3).write.parquet(src)
+    for part in ((refs, [], []), ([], parents, []), ([], [], log)):
+        as_events(*frames(spark, *part)).coalesce(1).write.mode("append").parquet(src)
     state = PendingOrphans(spark, str(tmp_path / "state"))
-    q = state.run(spark.readStream.schema(r.schema).option("maxFilesPerTrigger", 1).parquet(src), p, l)
+    q = state.run(spark.readStream.schema(EVENTS).option("maxFilesPerTrigger", 1).parquet(src))
     q.awaitTermination(120)
-    last = max(int(x.name[1:]) for x in (tmp_path / "state" / "orphans").iterdir())
-    assert {(x["rec_no"], x["ref_title"], x["status"]) for x in state.read("orphans", last).collect()} == brute(refs, parents, log)
+    assert found(state.orphans(3)) == brute(refs, parents, log)
 
 
 def test_page_references(spark):
