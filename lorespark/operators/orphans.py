@@ -72,20 +72,24 @@ def resolve(refs: DataFrame, parents: DataFrame, log: DataFrame, hot_share: floa
     return evaluate(materialise(refs), parents, log, hot_share).where("status IS NOT NULL").drop("again")
 
 
-def evaluate(refs: DataFrame, parents: DataFrame, log: DataFrame, hot_share: float = HOT_SHARE) -> DataFrame:
+def hot_titles(refs: DataFrame, hot_share: float = HOT_SHARE) -> DataFrame:
+    """(ref_title, salts) of the titles with more than their share of the references; at most 1 / hot_share rows."""
+    total = refs.count()
+    per_title = refs.groupBy("ref_title").agg(F.count("*").alias("n"))
+    return per_title.where(F.col("n") > total * hot_share).select("ref_title", F.ceil(F.col("n") / F.lit(max(1.0, total * hot_share))).cast("int").alias("salts"))
+
+
+def evaluate(refs: DataFrame, parents: DataFrame, log: DataFrame, hot_share: float = HOT_SHARE, hot: DataFrame | None = None) -> DataFrame:
     """(rec_no, dumped_at, ref_title, again, status) of references that are stored; the status of one that holds is null.
 
     A title may have several parents, of which the earliest counts. `again` is taken over where
-    there is such a column. All events of a title meet in one ordered fold: its parent first, then the log and the
+    there is such a column. `hot` may give the hot titles, if they are known. All events of a title meet in one ordered fold: its parent first, then the log and the
     references by time, the log first on ties and the greater log_id last. References of a hot
     title are spread over salts, and only its parent and log are copied to each of them.
     """
     if "again" not in refs.columns:
         refs = refs.withColumn("again", F.lit(None).cast("boolean"))
-    per_title = refs.groupBy("ref_title").agg(F.count("*").alias("n"))
-    total = refs.count()
-    hot = per_title.where(F.col("n") > total * hot_share).select("ref_title", F.ceil(F.col("n") / F.lit(max(1.0, total * hot_share))).cast("int").alias("salts"))
-    hot = F.broadcast(hot)  # at most 1 / hot_share rows
+    hot = F.broadcast(hot_titles(refs, hot_share) if hot is None else hot)  # at most 1 / hot_share rows
 
     def salted(df: DataFrame, one: bool) -> DataFrame:
         joined = df.join(hot, "ref_title", "left")

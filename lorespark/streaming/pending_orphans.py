@@ -9,12 +9,15 @@ parents take up the waiting orphans of their titles; deletions and restorations
 references to theirs. The orphans after all batches are those that `orphans.resolve` finds at once,
 whatever the order in which events came.
 
-A batch counts once its commit is written, last of all; one that is repeated writes its deltas anew.
+A batch counts once its commit is written, last of all: it names the deltas, which the batch wrote or
+found where they are already stored. A batch that is repeated writes its deltas anew.
 A state whose commits have a gap is an error, never an empty state.
 """
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,7 +40,7 @@ class MissingVersion(RuntimeError):
 
 class PendingOrphans:
     def __init__(self, spark: SparkSession, folder: str):
-        self.spark, self.folder = spark, folder.rstrip("/")
+        self.spark, self.folder, self._known = spark, folder.rstrip("/"), {}
 
     def _path(self, name: str, version: int, base: bool = False) -> str:
         return f"{self.folder}/{name}/{'base' if base else 'v'}{version:08d}"
@@ -60,13 +63,27 @@ class PendingOrphans:
             raise MissingVersion(f"state of batch {version} is not complete in {self.folder}: it has {', '.join(bases[-1:] + later) or 'nothing'}")
         return bases[-1:] + later
 
-    def _commit(self, name: str) -> None:
+    def _commit(self, name: str, paths: dict[str, str]) -> None:
         fs, p = self._fs(f"{self.folder}/commits/{name}")
-        fs.create(p, True).close()
+        out = fs.create(p, True)
+        out.write(bytearray(json.dumps(paths).encode()))
+        out.close()
+
+    def _deltas(self, name: str, version: int) -> list[str]:
+        """Where the rows of a table of the state after a batch lie."""
+        if version not in self._known:  # commits are small: one line a batch
+            paths = []
+            for commit in self._commits(version):
+                fs, p = self._fs(f"{self.folder}/commits/{commit}")
+                stream = fs.open(p)
+                paths.append(json.loads(bytes(stream.readAllBytes())))
+                stream.close()
+            self._known = {version: paths}
+        return [c[name] for c in self._known[version] if name in c]
 
     def read(self, name: str, version: int) -> DataFrame:
         """All rows of a table of the state after a batch; version 0 is empty."""
-        there = [f"{self.folder}/{name}/{n}" for n in self._commits(version) if n in self._names(f"{self.folder}/{name}")]
+        there = self._deltas(name, version)
         if not there:
             return self.spark.createDataFrame([], TABLES[name])
         return self.spark.read.schema(TABLES[name]).parquet(*there)
@@ -79,34 +96,37 @@ class PendingOrphans:
         last = changes.groupBy("rec_no", "dumped_at", "ref_title").agg(F.max_by("status", "version").alias("status"))
         return last.where("status IS NOT NULL")
 
-    def apply(self, version: int, refs: DataFrame | None = None, parents: DataFrame | None = None, log: DataFrame | None = None) -> None:
-        """Applies batch `version` (1, 2, ..) to the state of the one before."""
+    def apply(self, version: int, refs: DataFrame | str | None = None, parents: DataFrame | str | None = None, log: DataFrame | str | None = None, hot: DataFrame | None = None) -> None:
+        """Applies batch `version` (1, 2, ..) to the state of the one before.
+
+        Tables come as rows, or as paths where they are stored to stay. `hot` is for `evaluate`.
+        """
         self._commits(version - 1)
-        given = {"refs": refs, "parents": parents, "log": log}
-        new = {}
-        for name, df in given.items():
-            path = self._path(name, version)
-            fs, p = self._fs(path)
-            fs.delete(p, True)
-            if df is not None:
-                df.select(*[c.split()[0] for c in TABLES[name].split(", ")]).write.parquet(path)
-                stored = self.spark.read.schema(TABLES[name]).parquet(path)
-                if not stored.isEmpty():
-                    new[name] = stored
+        paths: dict[str, str] = {}
+        for name, given in {"refs": refs, "parents": parents, "log": log}.items():
+            if isinstance(given, str):
+                paths[name] = given
+            elif given is not None:
+                given.select(*[c.split()[0] for c in TABLES[name].split(", ")]).write.mode("overwrite").parquet(self._path(name, version))
+                paths[name] = self._path(name, version)
+        new = {n: self.spark.read.schema(TABLES[n]).parquet(path) for n, path in paths.items()}
         todo = [new["refs"].withColumn("again", F.lit(False))] if "refs" in new else []
-        if "parents" in new:
+        if "parents" in new and self._deltas("changes", version - 1):
             todo.append(self.orphans(version - 1, new["parents"].select("ref_title")).drop("status").withColumn("again", F.lit(True)))
-        if "log" in new:
+        if "log" in new and self._deltas("refs", version - 1):
             todo.append(self.read("refs", version - 1).join(new["log"].select("ref_title"), "ref_title", "left_semi").withColumn("again", F.lit(True)))
         if todo:
             every = todo[0]
             for t in todo[1:]:
                 every = every.unionByName(t)
-            every = materialise(every.groupBy("rec_no", "dumped_at", "ref_title").agg(F.max("again").alias("again")))
+            if hot is None:
+                every = materialise(every)  # counted first
             known = [self.read(n, version - 1).unionByName(new[n]) if n in new else self.read(n, version - 1) for n in ("parents", "log")]
-            changed = orphans.evaluate(every, *known).where("status IS NOT NULL OR again").withColumn("version", F.lit(version))
-            changed.select(*[c.split()[0] for c in TABLES["changes"].split(", ")]).write.mode("overwrite").parquet(self._path("changes", version))
-        self._commit(f"v{version:08d}")
+            changed = orphans.evaluate(every, *known, hot=hot).where("status IS NOT NULL OR again").withColumn("version", F.lit(version))
+            paths["changes"] = self._path("changes", version)
+            changed.select(*[c.split()[0] for c in TABLES["changes"].split(", ")]).write.mode("overwrite").parquet(paths["changes"])
+        self._known = {}
+        self._commit(f"v{version:08d}", paths)
 
     def compact(self, version: int) -> None:
         """Replaces the deltas up to a batch by one table each and removes them."""
@@ -115,7 +135,8 @@ class PendingOrphans:
         whole |= {"log": self.read("log", version).distinct(), "changes": self.orphans(version).withColumn("version", F.lit(version))}
         for name, df in whole.items():
             df.write.mode("overwrite").parquet(self._path(name, version, base=True))
-        self._commit(f"base{version:08d}")
+        self._commit(f"base{version:08d}", {name: self._path(name, version, base=True) for name in TABLES})
+        self._known = {}
         for part in parts:
             for name in ("commits", *TABLES):
                 fs, p = self._fs(f"{self.folder}/{name}/{part}")
@@ -150,8 +171,8 @@ def as_events(refs: DataFrame, parents: DataFrame, log: DataFrame) -> DataFrame:
 def by_period(refs: DataFrame, parents: DataFrame, log: DataFrame, period: str = "yyyy-MM") -> tuple[PendingOrphans, int]:
     """The state after a batch for every period of a history, and its version.
 
-    Events are stored by period first, so that a batch reads its own only; those without a time
-    come with the last one. There is a job a period, and no job over all of them.
+    Events are stored by period first, where they stay as the deltas of their batch; those without
+    a time come with the last one.
     """
     spark = refs.sparkSession
     time = F.coalesce("dumped_at", "first_listed", "logged_at")
@@ -162,8 +183,7 @@ def by_period(refs: DataFrame, parents: DataFrame, log: DataFrame, period: str =
     state = PendingOrphans(spark, scratch(spark, "orphans"))
     fs, p = state._fs(path)
     there = [(s.getPath().getName().removeprefix("period="), {k.getPath().getName().removeprefix("kind=") for k in fs.listStatus(s.getPath())}) for s in fs.listStatus(p) if s.isDirectory()]
-    version = 0
+    hot, version = materialise(orphans.hot_titles(stored.where("kind = 'ref'"))), 0
     for version, (name, kinds) in enumerate(sorted(there), 1):
-        batch = stored.where(F.col("period") == spark._jvm.java.net.URLDecoder.decode(name, "UTF-8"))
-        state.apply(version, *(batch.where(F.col("kind") == k) if k in kinds else None for k in ("ref", "parent", "log")))
+        state.apply(version, *(f"{path}/period={name}/kind={k}" if k in kinds else None for k in ("ref", "parent", "log")), hot=hot)
     return state, version
