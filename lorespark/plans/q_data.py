@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from lorespark.operators import orphans
 from lorespark.operators import smallfiles as sf
-from lorespark.session import table
+from lorespark.session import materialise, table
 from lorespark.streaming.pending_orphans import PendingOrphans, by_period
 
 
@@ -17,7 +17,8 @@ def _files(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
-    return sf.plan_bundles(_files(spark, d)).select("listing", "file_path")
+    """The files that the bundles of the plan hold; the plan is written first, as a consolidation would."""
+    return materialise(sf.plan_bundles(_files(spark, d))).where("bundle <> ''").select("listing", "file_path")
 
 
 def p5_plan(spark: SparkSession, d: str) -> DataFrame:

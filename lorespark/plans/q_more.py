@@ -28,14 +28,15 @@ def query(sql: str | None = None):
     return add
 
 
-@query("SELECT 'images_manifest' AS listing, path, ord FROM images_manifest UNION ALL SELECT 'manifest', path, ord FROM manifest")
+@query("SELECT 'images_manifest' AS listing, name AS title, path, bytes, ord, listed_at FROM images_manifest UNION ALL SELECT 'manifest', title, path, bytes, ord, listed_at FROM manifest")
 def p5_merged(spark: SparkSession, d: str) -> DataFrame:
     """Both catalogues written as many small sorted runs, merged into few files, and read again."""
-    rows = table(spark, d, "manifest").select(F.lit("manifest").alias("listing"), "path", "ord").unionByName(table(spark, d, "images_manifest").select(F.lit("images_manifest").alias("listing"), "path", "ord"))
+    rest = ["path", "bytes", "ord", "listed_at"]
+    rows = table(spark, d, "manifest").select(F.lit("manifest").alias("listing"), "title", *rest).unionByName(table(spark, d, "images_manifest").select(F.lit("images_manifest").alias("listing"), F.col("name").alias("title"), *rest))
     runs, out = scratch(spark, "runs"), scratch(spark, "merged")
     rows.repartition(64, "ord").sortWithinPartitions("listing", "path").write.parquet(runs)
-    smallfiles.merge_runs(spark.read.parquet(runs), ["listing", "path", "ord"], out, rows_per_file=1_000_000).count()
-    return spark.read.parquet(out)
+    smallfiles.merge_runs(spark, runs, ["listing", "path"], out, file_bytes=1 << 20)
+    return spark.read.parquet(out).drop("out_file", "row_bytes")
 
 
 @query("""SELECT 'part:' || p_partkey AS title, 'P_brand' AS prop, p_brand AS value, 0 AS pos FROM part UNION ALL SELECT 'part:' || p_partkey, 'P_type', p_type, 1 FROM part

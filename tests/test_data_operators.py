@@ -3,6 +3,7 @@ from __future__ import annotations
 import datetime as dt
 import random
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -134,13 +135,29 @@ def test_small_files(spark):
 
 
 def test_merge_runs(spark, tmp_path):
-    src = spark.range(500).select((F.col("id") * 7 % 250).alias("k"), F.col("id").alias("v"))
-    src.repartition(40).sortWithinPartitions("k").write.parquet(str(tmp_path / "runs"))
-    meta = smallfiles.merge_runs(spark.read.parquet(str(tmp_path / "runs")), ["k"], str(tmp_path / "out"), rows_per_file=100, ranges=2)
-    m = meta.collect()
-    out = spark.read.parquet(str(tmp_path / "out"))
-    assert out.count() == 500 and out.exceptAll(src).count() == 0 and src.exceptAll(out).count() == 0
-    assert sum(r["rows"] for r in m) == 500 and len(m) <= 7
+    """A third of the rows share one key; nulls, empty runs and a clashing column name."""
+    k = F.when(F.col("id") % 3 == 0, F.lit("hot")).when(F.col("id") % 50 == 1, F.lit(None)).otherwise(F.format_string("k%04d", F.col("id") * 7 % 900))
+    src = spark.range(3000).select(k.alias("k"), F.col("id").alias("run"), F.repeat(F.lit("x"), (F.col("id") % 40).cast("int")).alias("data"))
+    src.repartition(40).sortWithinPartitions(F.col("k").asc_nulls_first()).write.parquet(str(tmp_path / "runs"))
+    src.limit(0).coalesce(1).write.mode("append").parquet(str(tmp_path / "runs"))
+    meta = smallfiles.merge_runs(spark, str(tmp_path / "runs"), ["k"], str(tmp_path / "out"), file_bytes=8000, range_bytes=12_000, held_bytes=2000).collect()
+    out = spark.read.parquet(str(tmp_path / "out")).select(*src.columns)
+    assert out.count() == 3000 and out.exceptAll(src).count() == 0 and src.exceptAll(out).count() == 0
+    assert sum(r["rows"] for r in meta) == 3000 and all(r["bytes"] <= 8000 + 100 for r in meta) and 6 < len(meta) < 40
+    at = lambda key: (key["k"] is not None, key["k"] or "")
+    ordered = sorted(meta, key=lambda r: r["out_file"])
+    assert all(at(a["greatest"]) <= at(b["least"]) for a, b in zip(ordered, ordered[1:]))
+    assert len({r["out_file"][:6] for r in ordered if r["least"]["k"] == "hot" == r["greatest"]["k"]}) >= 2  # the hot key fills more than one range
+    for r in ordered:  # every file is sorted, and is one file
+        files = list((tmp_path / "out" / f"out_file={r['out_file']}").glob("*.parquet"))
+        keys = [x["k"] for x in pq.read_table(files[0], columns=["k"]).to_pylist()]
+        assert len(files) == 1 and keys == sorted(keys, key=lambda v: (v is not None, v or ""))
+
+
+def test_merge_runs_refuses_what_is_not_sorted(spark, tmp_path):
+    spark.createDataFrame([(2,), (1,)], "k int").coalesce(1).write.parquet(str(tmp_path / "runs"))
+    with pytest.raises(Exception, match="not sorted"):
+        smallfiles.merge_runs(spark, str(tmp_path / "runs"), ["k"], str(tmp_path / "out"))
 
 
 def test_site_round_trip(spark, tmp_path):
