@@ -50,6 +50,15 @@ def p3_pieces(spark: SparkSession, d: str) -> DataFrame:
     return split.pieces(split.split_oversized(table(spark, d, "sdv_full"), "rec_no", "content"))
 
 
+def p3_rebuilt(spark: SparkSession, d: str) -> DataFrame:
+    """What the pieces of each record add up to once each overlap is taken away, and whether all keep to the limit."""
+    pieces = F.col("pieces")
+    whole = F.aggregate(pieces, F.lit(""), lambda text, p: F.concat(text, F.when(p["piece_no"] == 0, p["piece"]).otherwise(F.substr(p["piece"], F.lit(split.OVERLAP + 1)))))
+    again = F.forall(F.sequence(F.lit(1), F.greatest(F.lit(1), F.size(pieces) - 1)), lambda i: (F.size(pieces) == 1) | F.get(pieces, i)["piece"].startswith(F.right(F.get(pieces, i - 1)["piece"], F.lit(split.OVERLAP))))
+    cuts = split.split_oversized(table(spark, d, "sdv_full"), "rec_no", "content")
+    return cuts.select(F.col("item_key").alias("rec_no"), F.md5(whole).alias("digest"), F.forall(pieces, lambda p: F.length(p["piece"]) <= split.LIMIT).alias("within"), again.alias("repeats"))
+
+
 def p6_terms(spark: SparkSession, d: str) -> DataFrame:
     return termfreq.marked_terms(table(spark, d, "sdv_full"), "content")
 
@@ -97,7 +106,7 @@ def p8_shares(spark: SparkSession, d: str) -> DataFrame:
     return _mixture(spark, d).shares()
 
 
-QUERIES = {"p7_assignments": p7_assignments, "p7_fill": p7_fill, "p8_schedule": p8_schedule, "p8_shares": p8_shares, "p9_found": p9_found, "p9_segments": p9_segments, "p1_found": p1_found, "p1_clean_text": p1_clean_text, "p2_found": p2_found, "p2_class_pairs": p2_class_pairs, "p2_membership": p2_membership, "p3_found": p3_found, "p3_pieces": p3_pieces, "p6_found": p6_found, "p6_terms": p6_terms}
+QUERIES = {"p7_assignments": p7_assignments, "p7_fill": p7_fill, "p8_schedule": p8_schedule, "p8_shares": p8_shares, "p9_found": p9_found, "p9_segments": p9_segments, "p1_found": p1_found, "p1_clean_text": p1_clean_text, "p2_found": p2_found, "p2_class_pairs": p2_class_pairs, "p2_membership": p2_membership, "p3_found": p3_found, "p3_pieces": p3_pieces, "p3_rebuilt": p3_rebuilt, "p6_found": p6_found, "p6_terms": p6_terms}
 
 # NFC and half-width letters are all that NFKC changes in the test tables.
 _SQL_TERMS = r"""
@@ -118,6 +127,7 @@ n AS (SELECT rec_no, count(*) AS n FROM s GROUP BY rec_no),
 i AS (SELECT a.rec_no AS rec_no_a, b.rec_no AS rec_no_b, count(*) AS c FROM s a JOIN s b ON a.h = b.h AND a.rec_no < b.rec_no GROUP BY ALL)
 SELECT rec_no_a, rec_no_b FROM i JOIN n x ON x.rec_no = rec_no_a JOIN n y ON y.rec_no = rec_no_b WHERE c >= 0.6 * (x.n + y.n - c)
 """,
+    "p3_rebuilt": "SELECT rec_no, md5(content) AS digest, true AS within, true AS repeats FROM sdv_full WHERE length(content) > 6000",
     "p3_found": r"""
 WITH big AS (SELECT rec_no, string_split(replace(content, chr(13) || chr(10), chr(10)), chr(10)) AS line FROM sdv_full WHERE length(content) > 6000),
 par AS (

@@ -245,7 +245,7 @@ def test_near_duplicates_of_nothing(spark):
 @settings(max_examples=200, deadline=None)
 @given(st.text("ab. \n\r=。", max_size=300), st.integers(5, 60), st.integers(0, 4))
 def test_pieces_cover_the_text(text, limit, overlap):
-    spans = split.split_spans(text, limit, overlap)
+    spans, _, _ = split.split_spans(text, limit, overlap)
     assert all(0 < b - a <= limit for a, b in spans)
     if spans:
         assert spans[0][0] == 0 and spans[-1][1] == len(text)
@@ -255,10 +255,34 @@ def test_pieces_cover_the_text(text, limit, overlap):
         assert text == ""
 
 
+def cut_by_lines(text, limit):
+    """The definition of the cut, from the lengths of lines and paragraphs alone."""
+    kind, run = 0, -1
+    for line in text.split("\n"):
+        line = line.removesuffix("\r")
+        if len(line) > limit:
+            return 2
+        run = run + 1 + len(line) if line.strip() else -1
+        kind = max(kind, int(run > limit))
+    return kind
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.text("ab. \n\r=", max_size=300), st.integers(5, 40))
+def test_the_splitter_reports_its_cut(text, limit):
+    assert len(text) <= limit or split.split_spans(text, limit, 2)[1] == cut_by_lines(text, limit)
+
+
 def test_natural_boundaries():
     text = "\n\n".join("word " * 20 for _ in range(10))
-    assert all(text[b - 2 : b] == "\n\n" for _, b in split.split_spans(text, 250, 10)[:-1])
-    assert split.cut_kind("a" * 50 + "\n" + "b" * 50, 100) == "line" and split.cut_kind("a" * 101, 100) == "hard" and split.cut_kind("a" * 99 + "\r\n\r\n" + "b" * 99, 100) == "paragraph"
+    spans, cut, squeezed = split.split_spans(text, 250, 10)
+    assert cut == squeezed == 0 and all(text[b - 2 : b] == "\n\n" for _, b in spans[:-1])
+    assert [split.split_spans(t, 100, 10)[1] for t in ("a" * 50 + "\n" + "b" * 50, "a" * 101, "a" * 99 + "\r\n\r\n" + "b" * 99)] == [1, 2, 0]
+    # a first paragraph may fill the limit; a later one, which must stand beside the overlap, may not
+    spans, cut, squeezed = split.split_spans("a" * 98 + "\n\n" + "b" * 60, 100, 10)
+    assert spans == [(0, 100), (90, 160)] and squeezed == 0
+    spans, cut, squeezed = split.split_spans("a" * 50 + "\n\n" + "b " * 49 + "\n\n" + "c" * 20, 100, 10)
+    assert squeezed == 1 and cut == 0
 
 
 def test_split_operator(spark):
