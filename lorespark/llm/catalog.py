@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lorespark.llm import content_model, langid, mixing, neardup, packing, split, termfreq, tokens
@@ -89,6 +89,30 @@ def p7_assignments(spark: SparkSession, d: str) -> DataFrame:
     return packing.pack(sizes, "doc_id", "n_tokens", _profiles(spark, d)).withColumnRenamed("item", "doc_id")
 
 
+def p7_placed(spark: SparkSession, d: str) -> DataFrame:
+    """For each profile and document, whether all its tokens lie in containers once, whole unless they exceed the capacity,
+    and whether none of its containers is overfull."""
+    profiles = _profiles(spark, d)
+    packed = p7_assignments(spark, d)
+    used = packed.groupBy("profile", "container").agg((F.sum("n_tokens") + (F.count("*") - 1) * _of(profiles, 1)).alias("used"))
+    parts = packed.join(used, ["profile", "container"]).groupBy("profile", "doc_id").agg(F.sum("n_tokens").alias("t"), F.max(F.col("token_start") + F.col("n_tokens")).alias("end"), F.count("*").alias("parts"), F.max("used").alias("used"))
+    once = (F.col("t") == F.col("end")) & (F.col("parts") == F.ceil(F.col("t") / _of(profiles, 0)))
+    return parts.select("profile", "doc_id", once.alias("once"), (F.col("used") <= _of(profiles, 0)).alias("fits"))
+
+
+def p7_full(spark: SparkSession, d: str) -> DataFrame:
+    """For each profile, whether containers are at least 0.9 full on the whole and at most one in a hundred is half empty."""
+    fill = packing.fill_report(p7_assignments(spark, d), _profiles(spark, d))
+    return fill.select("profile", (F.col("fill") >= 0.9).alias("full"), (F.col("up_to_half") <= F.greatest(F.lit(1.0), F.col("containers") / 100)).alias("few_half_empty"))
+
+
+def _of(profiles: dict[str, tuple[int, int]], at: int) -> Column:
+    out = F.lit(None).cast("bigint")
+    for name, values in profiles.items():
+        out = F.when(F.col("profile") == name, F.lit(values[at])).otherwise(out)
+    return out
+
+
 def p7_fill(spark: SparkSession, d: str) -> DataFrame:
     return packing.fill_report(p7_assignments(spark, d), _profiles(spark, d))
 
@@ -102,11 +126,22 @@ def p8_schedule(spark: SparkSession, d: str) -> DataFrame:
     return _mixture(spark, d).schedule().withColumnRenamed("item", "doc_id")
 
 
+def p8_bounds(spark: SparkSession, d: str) -> DataFrame:
+    """For each mix and source, whether its share is within 0.01 of its target (scaled to the sources that have
+    documents, and beside the one block by which a short mix may miss it) and its documents are not repeated too often."""
+    shares = _mixture(spark, d).shares()
+    total = Window.partitionBy("mix")
+    stocked = F.col("tokens") > 0
+    want = F.when(stocked, F.col("target_share")).otherwise(0) / F.sum(F.when(stocked, F.col("target_share"))).over(total)
+    near = F.abs(F.col("actual_share") - F.coalesce(want, F.lit(0.0))) <= 0.01 + 2.0 * mixing.BLOCK_TOKENS / F.greatest(F.sum("tokens").over(total), F.lit(1))
+    return shares.select("mix", "source", near.alias("near"), (F.col("repeats") <= F.coalesce("max_repeats", F.lit(0))).alias("within"))
+
+
 def p8_shares(spark: SparkSession, d: str) -> DataFrame:
     return _mixture(spark, d).shares()
 
 
-QUERIES = {"p7_assignments": p7_assignments, "p7_fill": p7_fill, "p8_schedule": p8_schedule, "p8_shares": p8_shares, "p9_found": p9_found, "p9_segments": p9_segments, "p1_found": p1_found, "p1_clean_text": p1_clean_text, "p2_found": p2_found, "p2_class_pairs": p2_class_pairs, "p2_membership": p2_membership, "p3_found": p3_found, "p3_pieces": p3_pieces, "p3_rebuilt": p3_rebuilt, "p6_found": p6_found, "p6_terms": p6_terms}
+QUERIES = {"p7_assignments": p7_assignments, "p7_fill": p7_fill, "p7_placed": p7_placed, "p7_full": p7_full, "p8_bounds": p8_bounds, "p8_schedule": p8_schedule, "p8_shares": p8_shares, "p9_found": p9_found, "p9_segments": p9_segments, "p1_found": p1_found, "p1_clean_text": p1_clean_text, "p2_found": p2_found, "p2_class_pairs": p2_class_pairs, "p2_membership": p2_membership, "p3_found": p3_found, "p3_pieces": p3_pieces, "p3_rebuilt": p3_rebuilt, "p6_found": p6_found, "p6_terms": p6_terms}
 
 # NFC and half-width letters are all that NFKC changes in the test tables.
 _SQL_TERMS = r"""
@@ -127,6 +162,9 @@ n AS (SELECT rec_no, count(*) AS n FROM s GROUP BY rec_no),
 i AS (SELECT a.rec_no AS rec_no_a, b.rec_no AS rec_no_b, count(*) AS c FROM s a JOIN s b ON a.h = b.h AND a.rec_no < b.rec_no GROUP BY ALL)
 SELECT rec_no_a, rec_no_b FROM i JOIN n x ON x.rec_no = rec_no_a JOIN n y ON y.rec_no = rec_no_b WHERE c >= 0.6 * (x.n + y.n - c)
 """,
+    "p7_placed": "SELECT profile, doc_id, true AS once, true AS fits FROM pack_profiles, documents WHERE text <> ''",
+    "p7_full": "SELECT profile, true AS full, true AS few_half_empty FROM pack_profiles",
+    "p8_bounds": "SELECT mix, replace(lower(trim(source)), '-', '_') AS source, true AS near, true AS within FROM mix_targets",
     "p3_rebuilt": "SELECT rec_no, md5(content) AS digest, true AS within, true AS repeats FROM sdv_full WHERE length(content) > 6000",
     "p3_found": r"""
 WITH big AS (SELECT rec_no, string_split(replace(content, chr(13) || chr(10), chr(10)), chr(10)) AS line FROM sdv_full WHERE length(content) > 6000),

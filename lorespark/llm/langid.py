@@ -4,7 +4,8 @@ Language-bitmask n-gram filters: one Bloom filter whose cells hold a bit for eve
 that a look-up of an n-gram returns the mask of all languages that contain it. Per-language
 popcounts over the n-grams of a sentence, corrected for the filter's false positives, decide.
 
-The filters are filled from at most TRAIN_ROWS labelled rows, those of the least hashed ids. As
+The filters are filled from at most TRAIN_ROWS labelled rows, those of the least hashed ids, and
+at most TRAIN_CHARS characters of each; texts are then decided whole. As
 labels may be wrong and texts mixed, an n-gram enters a language only if it is there nearly as
 frequent as in the language that uses it most; sentences are then labelled by this first model
 and the filters filled again from them.
@@ -39,7 +40,7 @@ LABELS = {
 LANGS = list(LABELS)
 _CODE_OF = {spelling: code for code, spellings in LABELS.items() for spelling in spellings}
 
-TRAIN_ROWS = 4000
+TRAIN_ROWS, TRAIN_CHARS = 4000, 20_000
 FILTER_BITS, PROBES = 18, 4
 #: An n-gram belongs to a language if its rate there is at least this part of its greatest rate.
 SHARE_OF_BEST = 0.25
@@ -243,11 +244,18 @@ def _detect(cells: np.ndarray):
     return run
 
 
-def training_rows(df: DataFrame, id_col: str, text_col: str, label_col: str, rows: int = TRAIN_ROWS) -> list[tuple[str, str]]:
-    """At most `rows` labelled rows, those of the least hashed ids; the same at every run."""
+def training_rows(df: DataFrame, id_col: str, text_col: str, label_col: str, rows: int = TRAIN_ROWS, chars: int = TRAIN_CHARS) -> list[tuple[str, str]]:
+    """At most `rows` labelled rows, those of the least hashed ids, of each the first `chars` characters.
+
+    A threshold on the hash, set from the number of labelled rows, leaves little more than `rows` of
+    them before anything is gathered, however many partitions there are. The same at every run.
+    """
     known = F.regexp_extract(F.lower(F.coalesce(F.col(label_col), F.lit(""))), "([a-z]+)", 1).isin(list(_CODE_OF))
-    bounded = df.where(known & F.col(text_col).isNotNull()).select(F.xxhash64(id_col).alias("h"), F.col(text_col).alias("t"), F.col(label_col).alias("l"))
-    return [(r["t"], r["l"]) for r in bounded.orderBy("h", "t").limit(rows).collect()]
+    labelled = df.where(known & F.col(text_col).isNotNull())
+    share = min(1.0, (rows + 6 * rows**0.5) / max(1, labelled.count()))
+    h = F.xxhash64(id_col)
+    least = labelled.where(F.shiftrightunsigned(h, 32) <= int(share * (1 << 32))).select(h.alias("h"), F.substring(text_col, 1, chars).alias("t"), F.col(label_col).alias("l"))
+    return [(r["t"], r["l"]) for r in least.orderBy(F.shiftrightunsigned("h", 32), "h", "t").limit(rows).collect()]
 
 
 def detect(df: DataFrame, id_col: str, text_col: str, label_col: str, filters: Filters | None = None) -> DataFrame:

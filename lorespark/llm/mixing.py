@@ -2,8 +2,9 @@
 
 Low-discrepancy source schedule: slot i of a mix looks up the point frac(i * golden ratio) in the
 cumulative weights of its sources; the k-th slot of a source takes the k-th block of its shuffled
-records, and begins anew after the last one as often as the cap allows. Blocks hold equal numbers
-of tokens, so shares of slots are shares of tokens.
+records, and begins anew, in another order, after the last one as often as the cap allows. Blocks
+hold equal numbers of tokens (a record that crosses the edge of a block is divided there), so
+shares of slots are shares of tokens but for the last block of a source.
 """
 
 from __future__ import annotations
@@ -33,20 +34,26 @@ def _offsets(df: DataFrame, keys: list[str], size: Column) -> DataFrame:
     return df.groupBy(*keys, "chunk").agg(F.sum(size).alias("s")).select(*keys, "chunk", F.coalesce(F.sum("s").over(w), F.lit(0)).alias("offset"))
 
 
-def blocks(sizes: DataFrame, block_tokens: int, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
-    """(source, item, n_tokens, block): records of a source in shuffled order, cut into blocks of equal tokens.
+def blocks(sizes: DataFrame, block_tokens: int, epochs: Column, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+    """(source, epoch, block, item, token_start, n_tokens): records of a source in shuffled order, cut into blocks of equal tokens.
 
-    A record lies in the block in which it begins. The order is that of hashed ids; running sums
-    are taken inside chunks of the hash range, so that a source of any size is spread.
+    Every epoch below `epochs`, a column of the row's source, has an order of its own, that of ids
+    hashed with its number. Running sums are taken inside chunks of the hash range, so that a
+    source of any size is spread. A record that crosses edges gives a row for each block it lies in.
     """
     chunks = max(1, math.ceil(sizes.count() / chunk_rows))
-    h = F.xxhash64(F.col("item"), F.lit(11))
-    rows = sizes.withColumn("h", h).withColumn("chunk", F.floor((F.shiftrightunsigned("h", 33) * chunks) / F.lit(2.0**31)).cast("int"))
-    offset = _offsets(rows, ["source"], F.col("n_tokens"))
-    w = Window.partitionBy("source", "chunk").orderBy("h", "item", "n_tokens").rowsBetween(Window.unboundedPreceding, -1)
+    each = sizes.withColumn("epoch", F.explode(F.sequence(F.lit(0), F.greatest(epochs, F.lit(1)).cast("int") - 1)))
+    h = F.xxhash64(F.col("item"), F.col("epoch") + 11)
+    rows = each.withColumn("h", h).withColumn("chunk", F.floor((F.shiftrightunsigned("h", 33) * chunks) / F.lit(2.0**31)).cast("int"))
+    offset = _offsets(rows, ["source", "epoch"], F.col("n_tokens"))
+    w = Window.partitionBy("source", "epoch", "chunk").orderBy("h", "item", "n_tokens").rowsBetween(Window.unboundedPreceding, -1)
     before = F.coalesce(F.sum("n_tokens").over(w), F.lit(0))
-    inside = rows.withColumn("before", before).join(offset, ["source", "chunk"])
-    return inside.select("source", "item", "n_tokens", F.floor((F.col("before") + F.col("offset")) / F.lit(block_tokens)).cast("bigint").alias("block"))
+    inside = rows.withColumn("before", before).join(offset, ["source", "epoch", "chunk"]).withColumn("begin", F.col("before") + F.col("offset"))
+    end = F.col("begin") + F.col("n_tokens")
+    whole = F.lit(block_tokens)
+    parts = inside.withColumn("block", F.explode(F.sequence(F.floor(F.col("begin") / whole), F.floor((end - 1) / whole))))
+    left, right = F.greatest(F.col("begin"), F.col("block") * whole), F.least(end, (F.col("block") + 1) * whole)
+    return parts.select("source", F.col("epoch").cast("bigint").alias("epoch"), F.col("block").cast("bigint").alias("block"), "item", (left - F.col("begin")).alias("token_start"), (right - left).alias("n_tokens"))
 
 
 class Mixture:
@@ -63,10 +70,15 @@ class Mixture:
         self.targets = [(r["mix"], r["source"], float(r["target_share"] or 0), int(r["max_repeats"] or 0)) for r in wanted if r["mix"] and r["source"]]
         names = sorted({s for _, s, _, _ in self.targets})
         clean = sizes.select("item", normal_source(F.col("source")).alias("source"), "n_tokens").where(F.col("source").isin(names) & (F.col("n_tokens") > 0))
-        self.blocks = materialise(blocks(materialise(clean), block_tokens, chunk_rows))
-        stock = self.blocks.groupBy("source").agg((F.max("block") + 1).alias("k"), F.sum("n_tokens").alias("t")).collect()  # one row per source of the targets
-        self.stock = {r["source"]: r["k"] for r in stock}
+        clean = materialise(clean)
+        stock = clean.groupBy("source").agg(F.sum("n_tokens").alias("t")).collect()  # one row per source of the targets
+        self.stock = {r["source"]: -(-r["t"] // block_tokens) for r in stock}
         self.plans = {m: p for m in sorted({m for m, *_ in self.targets}) if (p := self._plan(m))}
+        epochs = F.lit(1)
+        for s in self.stock:  # one more than the weights ask for: slots of a source may run ahead of its share
+            asked = [min(r, int(p["slots"] * w // self.stock[s]) + 2) for p in self.plans.values() for x, w, r in zip(p["sources"], p["weights"], p["repeats"]) if x == s]
+            epochs = F.when(F.col("source") == s, F.lit(max(asked, default=1))).otherwise(epochs)
+        self.blocks = materialise(blocks(clean, block_tokens, epochs, chunk_rows))
 
     def _plan(self, mix: str) -> dict | None:
         """Weights, limits and the number of slots of a mix; None if none of its sources has records."""
@@ -75,7 +87,7 @@ class Mixture:
         if not total:
             return None
         n = math.floor(min(self.stock[s] * r / (w / total) for s, w, r in rows) + 1e-9)
-        return {"sources": [s for s, _, _ in rows], "weights": [w / total for _, w, _ in rows], "limits": [self.stock[s] * r for s, _, r in rows], "slots": n}
+        return {"sources": [s for s, _, _ in rows], "weights": [w / total for _, w, _ in rows], "limits": [self.stock[s] * r for s, _, r in rows], "repeats": [r for _, _, r in rows], "slots": n}
 
     def slots(self) -> DataFrame:
         """(mix, slot, source, epoch, block) of every slot, ranks per source taken chunk by chunk."""
@@ -102,11 +114,11 @@ class Mixture:
         w = Window.partitionBy("mix", "source", "chunk").orderBy("slot")
         ranked = rows.withColumn("r", F.row_number().over(w) - 1).join(offset, ["mix", "source", "chunk"]).withColumn("rank", F.col("r") + F.col("offset")).where("rank < lim")
         epoch = F.floor(F.col("rank") / F.col("k")).cast("bigint")
-        return ranked.select("mix", "slot", "source", epoch.alias("epoch"), F.pmod(F.col("rank") + epoch * 7, F.col("k")).alias("block"))
+        return ranked.select("mix", "slot", "source", epoch.alias("epoch"), F.pmod(F.col("rank"), F.col("k")).alias("block"))
 
     def schedule(self) -> DataFrame:
-        """(mix, slot, source, epoch, item, n_tokens): the records of the mix in slot order."""
-        return self.slots().join(self.blocks, ["source", "block"]).select("mix", "slot", "source", "epoch", "item", "n_tokens")
+        """(mix, slot, source, epoch, item, token_start, n_tokens): the records of the mix, or their parts, by slot."""
+        return self.slots().join(self.blocks, ["source", "epoch", "block"]).select("mix", "slot", "source", "epoch", "item", "token_start", "n_tokens")
 
     def shares(self) -> DataFrame:
         """Per mix and source the share wanted, the share reached, tokens and the most repeats of a record."""

@@ -2,7 +2,10 @@
 
 Hierarchical residual packing: every task packs its items by best fit, largest first, and emits
 the bins that are nearly full. The others go on as items of the next round, where fewer tasks
-gather more of them, until one task holds all that is left or a round no longer helps.
+gather more of them. Best fit leaves each task at most one bin that is no more than half full, so
+once rounds help little, those alone are merged further, down to one task. In the end no two
+containers of a profile would fit into one, but for a single small one, whatever the number of
+tasks.
 """
 
 from __future__ import annotations
@@ -20,7 +23,7 @@ from lorespark.session import materialise, ship
 #: Items that one task packs, and the share of the capacity that a nearly full bin may leave empty.
 TASK_ITEMS = 40_000
 NEARLY_FULL = 0.005
-#: Rounds stop when one merges less than this share of the bins.
+#: Rounds over all underfull bins end when one merges less than this share of them; those up to half full go on.
 LEAST_GAIN = 0.01
 
 _MEMBERS = "array<struct<item:{0},piece_no:int,token_start:bigint,n_tokens:bigint>>"
@@ -111,18 +114,26 @@ def pack(sizes: DataFrame, id_col: str, size_col: str, profiles: dict[str, tuple
     full = F.lit(None).cast("bigint")
     for p, (c, _) in profiles.items():
         full = F.when(F.col("profile") == p, F.lit(math.floor(c * (1 - NEARLY_FULL)))).otherwise(full)
+    half = F.lit(None).cast("bigint")
+    for p, (c, sep) in profiles.items():
+        half = F.when(F.col("profile") == p, F.lit((c - sep) // 2)).otherwise(half)
     rows = materialise(_pieces(items, profiles))
-    left, done, no = rows.count(), [], 0
+    left, done, no, small = rows.count(), [], 0, False
     while True:
         tasks = max(1, math.ceil(left / task_items))
         spread = rows.repartition(tasks, F.xxhash64("key")) if tasks > 1 else rows.coalesce(1)
         packed = materialise(spread.mapInArrow(_round(profiles, no), schema))
-        under = packed.where(F.col("used") < full)
-        now = under.count()
-        if tasks == 1 or now == 0 or now > left * (1 - LEAST_GAIN):
+        if tasks == 1:
             done.append(packed)
             break
-        done.append(packed.where(F.col("used") >= full))
+        stays = F.col("used") > half if small else F.col("used") >= full
+        under = packed.where(~stays)
+        now = under.count()
+        if not small and now > left * (1 - LEAST_GAIN):
+            small, stays = True, F.col("used") > half
+            under = packed.where(~stays)
+            now = under.count()
+        done.append(packed.where(stays))
         rows, left, no = under.select("profile", F.col("used").alias("size"), F.col("container").alias("key"), "members"), now, no + 1
     out = done[0]
     for d in done[1:]:
@@ -131,10 +142,11 @@ def pack(sizes: DataFrame, id_col: str, size_col: str, profiles: dict[str, tuple
 
 
 def fill_report(packed: DataFrame, profiles: dict[str, tuple[int, int]]) -> DataFrame:
-    """Per profile: containers, items, tokens, and the share of the capacity that they fill."""
-    capacity = F.lit(None).cast("bigint")
-    for p, (c, _) in profiles.items():
-        capacity = F.when(F.col("profile") == p, F.lit(c)).otherwise(capacity)
+    """Per profile: containers, items, tokens, the share of the capacity that they fill, and how many are no more than half full."""
+    capacity = separator = F.lit(None).cast("bigint")
+    for p, (c, s) in profiles.items():
+        capacity, separator = F.when(F.col("profile") == p, F.lit(c)).otherwise(capacity), F.when(F.col("profile") == p, F.lit(s)).otherwise(separator)
+    used = F.col("t") + (F.col("n") - 1) * separator
     per = packed.groupBy("profile", "container").agg(F.count("*").alias("n"), F.sum("n_tokens").alias("t"))
-    total = per.groupBy("profile").agg(F.count("*").alias("containers"), F.sum("n").alias("items"), F.sum("t").alias("tokens"))
+    total = per.groupBy("profile").agg(F.count("*").alias("containers"), F.sum("n").alias("items"), F.sum("t").alias("tokens"), F.count_if(used * 2 <= capacity - separator).alias("up_to_half"))
     return total.withColumn("fill", F.col("tokens") / (F.col("containers") * capacity))

@@ -334,7 +334,8 @@ def test_packing(spark, task_items):
             parts.sort()
             assert (len(parts) == 1) == (want[i] <= cap) and sum(n for _, n in parts) == want[i] and all(a + n == b for (a, n), (b, _) in zip(parts, parts[1:]))
         assert sum(want.values()) / (len(by) * cap) > 0.9
-    assert {r["profile"] for r in packing.fill_report(packed, profiles).collect()} == {"a", "b"}
+        assert sum(2 * (sum(v) + sep * (len(v) - 1)) <= cap - sep for v in by.values()) <= 1  # however many tasks there were
+    assert {(r["profile"], r["up_to_half"] <= 1) for r in packing.fill_report(packed, profiles).collect()} == {("a", True), ("b", True)}
     assert packing.pack(spark.createDataFrame([], "i bigint, s int"), "i", "s", profiles).count() == 0
 
 
@@ -350,8 +351,8 @@ def test_mixing(spark):
     schedule = mix.schedule().collect()
     source = {i: (s or "").strip().lower().replace("-", "_") for i, s, _ in rows}
     limits = {("m", "big"): 1, ("m", "small_one"): 3, ("n", "tiny"): 4, ("n", "big"): 1}
-    uses = collections.Counter((r["mix"], r["item"]) for r in schedule)
-    assert all(n <= limits[(m, source[i])] for (m, i), n in uses.items())
+    uses = collections.Counter((r["mix"], r["item"], r["token_start"]) for r in schedule if r["epoch"] == 0)
+    assert set(uses.values()) == {1} and all(r["epoch"] < limits[(r["mix"], source[r["item"]])] for r in schedule)
     share = {(r["mix"], r["source"]): r["actual_share"] for r in mix.shares().collect()}
     assert share[("m", "big")] == pytest.approx(2 / 3, abs=0.02) and share[("m", "small_one")] == pytest.approx(1 / 3, abs=0.02) and share[("n", "tiny")] == pytest.approx(0.5, abs=0.02) and share[("m", "none")] == 0 == share[("e", "none")]
     head = [r for r in sorted((r for r in schedule if r["mix"] == "m"), key=lambda r: r["slot"]) if r["slot"] < 100]
@@ -360,6 +361,19 @@ def test_mixing(spark):
         tokens_of[r["source"]] += r["n_tokens"]
     assert tokens_of["big"] / sum(tokens_of.values()) == pytest.approx(2 / 3, abs=0.1)  # every stretch is mixed
     assert mixing.Mixture(sizes.limit(0), targets).schedule().count() == 0
+    # blocks are equal but for the last of a source and epoch, and every epoch holds all of its tokens once
+    per_block = mix.blocks.groupBy("source", "epoch", "block").agg(F.sum("n_tokens").alias("t")).collect()
+    last = {k: max(r["block"] for r in per_block if (r["source"], r["epoch"]) == k) for k in {(r["source"], r["epoch"]) for r in per_block}}
+    assert all(r["t"] == 500 or r["block"] == last[(r["source"], r["epoch"])] for r in per_block)
+    held = collections.defaultdict(list)
+    for r in mix.blocks.collect():
+        held[(r["epoch"], r["item"])].append((r["token_start"], r["n_tokens"]))
+    size = {i: n for i, _, n in rows}
+    for (_, item), parts in held.items():
+        parts.sort()
+        assert parts[0][0] == 0 and sum(n for _, n in parts) == size[item] and all(a + n == b for (a, n), (b, _) in zip(parts, parts[1:]))
+    orders = [[r["item"] for r in sorted((r for r in schedule if (r["mix"], r["source"], r["epoch"]) == ("m", "small_one", e)), key=lambda r: (r["slot"], r["item"]))] for e in (0, 1)]
+    assert orders[1] and orders[0][:40] != orders[1][:40]
 
 
 # --- languages ----------------------------------------------------------------------------------
