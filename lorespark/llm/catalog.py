@@ -25,6 +25,21 @@ def p1_clean_text(spark: SparkSession, d: str) -> DataFrame:
     return content_model.structure(main_records(spark, d), "rec_no", "content").select(F.col("item_key").alias("rec_no"), "clean_text", F.size("elements").alias("n_elements"))
 
 
+def p1_kept(spark: SparkSession, d: str) -> DataFrame:
+    """The elements of each record, and whether the clean text has their labels."""
+    flat = lambda c: F.regexp_replace(F.regexp_replace(c, r"\$", ""), r"(?U)\s+", " ")
+    rows = content_model.structure(main_records(spark, d), "rec_no", "content").select("item_key", flat(F.col("clean_text")).alias("t"), F.explode("elements").alias("e"))
+    return rows.select(F.col("item_key").alias("rec_no"), F.col("e.elem_kind"), F.col("e.label"), F.contains("t", flat(F.col("e.label"))).alias("kept"))
+
+
+def p1_residue(spark: SparkSession, d: str) -> DataFrame:
+    """Whether the clean text of a record, code blocks and formulas aside, still has tags, links, calls, comments or categories."""
+    text = F.regexp_replace(F.regexp_replace("clean_text", r"(?s)```\n.*?\n```", ""), r"\$[^$\n]+\$", "")
+    left = text.rlike(r"(?i)\[\[|\]\]|\{\{|<!--|</?(?:p|div|span|li|ul|ol|h[1-6]|table|tr|td|a|b|i|em|strong|br)\b[^<>]*>|'{3}|\\(?:section|item|begin|href|text\w\w)\b|^Category:")
+    rows = content_model.structure(main_records(spark, d), "rec_no", "content").where("clean_text IS NOT NULL")
+    return rows.select(F.col("item_key").alias("rec_no"), left.alias("residue"))
+
+
 def _near(spark: SparkSession, d: str) -> neardup.NearDuplicates:
     return neardup.NearDuplicates(main_records(spark, d), "rec_no", "content", width=3, threshold=0.6, min_words=40)
 
@@ -141,7 +156,7 @@ def p8_shares(spark: SparkSession, d: str) -> DataFrame:
     return _mixture(spark, d).shares()
 
 
-QUERIES = {"p7_assignments": p7_assignments, "p7_fill": p7_fill, "p7_placed": p7_placed, "p7_full": p7_full, "p8_bounds": p8_bounds, "p8_schedule": p8_schedule, "p8_shares": p8_shares, "p9_found": p9_found, "p9_segments": p9_segments, "p1_found": p1_found, "p1_clean_text": p1_clean_text, "p2_found": p2_found, "p2_class_pairs": p2_class_pairs, "p2_membership": p2_membership, "p3_found": p3_found, "p3_pieces": p3_pieces, "p3_rebuilt": p3_rebuilt, "p6_found": p6_found, "p6_terms": p6_terms}
+QUERIES = {"p7_assignments": p7_assignments, "p7_fill": p7_fill, "p7_placed": p7_placed, "p7_full": p7_full, "p8_bounds": p8_bounds, "p8_schedule": p8_schedule, "p8_shares": p8_shares, "p9_found": p9_found, "p9_segments": p9_segments, "p1_found": p1_found, "p1_clean_text": p1_clean_text, "p1_kept": p1_kept, "p1_residue": p1_residue, "p2_found": p2_found, "p2_class_pairs": p2_class_pairs, "p2_membership": p2_membership, "p3_found": p3_found, "p3_pieces": p3_pieces, "p3_rebuilt": p3_rebuilt, "p6_found": p6_found, "p6_terms": p6_terms}
 
 # NFC and half-width letters are all that NFKC changes in the test tables.
 _SQL_TERMS = r"""
@@ -152,6 +167,8 @@ m AS (SELECT *, CASE WHEN records < 3 THEN 'rare' WHEN records >= 0.2 * (SELECT
 
 SQL = {
     "p1_found": SQL_ELEMENTS,
+    "p1_kept": f"SELECT *, true AS kept FROM ({SQL_ELEMENTS})",
+    "p1_residue": "SELECT rec_no, false AS residue FROM sdv_full WHERE ns = 0 AND content IS NOT NULL AND NOT starts_with(lower(content), '#redirect') AND NOT starts_with(content, '#重定向')",
     "p6_found": _SQL_TERMS + "SELECT term, mark FROM m WHERE mark <> 'useful'",
     "p6_terms": _SQL_TERMS + "SELECT * FROM m",
     # All records that share a triple meet here, which only small tables allow.
