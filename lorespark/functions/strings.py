@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from lorespark.functions.namespaces import NAMESPACES
+
 from lorespark.functions.titles import lc_first, uc_first  # noqa: F401
 
 
@@ -69,7 +71,10 @@ def length_of(s: Column) -> Column:
 
 
 def position(s: Column, needle: Column | str, offset: int = 0) -> Column:
-    """0-based place of the needle at or after the offset; '' if there is none."""
+    """0-based place of the needle at or after the offset, a negative one counting as 0; '' if there is none. An empty needle is at the offset."""
+    offset = max(0, offset)
+    if isinstance(needle, str) and not needle:
+        return F.least(F.lit(offset), F.length(s)).cast("string")
     at = F.locate(needle, s, offset + 1) if isinstance(needle, str) else F.when(F.instr(F.substr(s, F.lit(offset + 1)), needle) > 0, F.instr(F.substr(s, F.lit(offset + 1)), needle) + offset).otherwise(0)
     return F.when(at > 0, (at - 1).cast("string")).otherwise("")
 
@@ -161,8 +166,6 @@ def split_trimmed(s: Column, delimiter: str) -> Column:
 
 # --- page words ---------------------------------------------------------------------------------
 
-# Namespace numbers and their canonical names.
-NAMESPACES = {"0": "", "1": "Talk", "2": "User", "4": "Project", "6": "File", "10": "Template", "14": "Category", "828": "Module"}
 
 
 def namespace_of(title: Column) -> Column:
@@ -192,7 +195,7 @@ def page_words(title: Column) -> dict[str, Column]:
 def canonical_namespace(ns: Column) -> Column:
     """The canonical name of a namespace number or name; unknown ones come back as they are."""
     known = F.create_map(*[F.lit(x) for kv in NAMESPACES.items() for x in kv])
-    return F.coalesce(F.try_element_at(known, F.trim(ns)), ns)
+    return F.coalesce(F.try_element_at(known, F.lower(F.trim(ns))), ns)
 
 
 def join_path(*parts: Column) -> Column:

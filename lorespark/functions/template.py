@@ -13,6 +13,7 @@ from dataclasses import dataclass, field
 from urllib.parse import quote
 
 from lorespark.functions import exprs
+from lorespark.functions.namespaces import NAMESPACES
 
 MAX_DEPTH, MAX_DEFAULTS = 10, 8
 _PROTECTED = re.compile(r"<!--.*?-->|<(nowiki|pre|gallery|source|syntaxhighlight|imagemap|poem)\b[^>]*(?:/>|>.*?</\1\s*>)", re.S | re.I)
@@ -22,7 +23,6 @@ SILENT = {"related", "categorytree", "dpl", "language", "seo", "widget", "time"}
 SETTERS = {"subobject", "set_internal", "declare"}
 EMPTY_WORDS = {"CURRENTYEAR", "CURRENTMONTH", "CURRENTDAY", "CURRENTTIME", "CURRENTTIMESTAMP", "SERVER", "SERVERNAME", "NUMBEROFPAGES", "NUMBEROFARTICLES", "NUMBEROFFILES"}
 NAMES = {"!": "|", "=": "=", "-": ""}
-NAMESPACES = {"0": "", "1": "Talk", "2": "User", "4": "Project", "6": "File", "10": "Template", "14": "Category", "828": "Module"}
 
 
 def _braces(s: str, i: int) -> int:
@@ -270,7 +270,7 @@ class _Run:
         if low in ("urlencode", "anchorencode"):
             return quote(arg, safe="-_.~")
         if low == "ns":
-            return NAMESPACES.get(arg.strip(), arg.strip())
+            return NAMESPACES.get(arg.strip().lower(), arg.strip())
         if low in ("fullurl", "localurl", "canonicalurl", "filepath"):
             return "#"
         return None
@@ -299,14 +299,14 @@ class _Run:
             parts = [] if count == 0 else parts[:count] if count > 0 else parts
             return "/".join(parts[max(0, first - 1) :])
         if name == "pos":
-            at = ex(0).find(ex(1), number(ex(2)))
-            return str(at) if at >= 0 and ex(1) else ""
+            at = ex(0).find(ex(1), min(max(0, number(ex(2))), len(ex(0))))
+            return str(at) if at >= 0 else ""
         if name == "sub":
             s, start, size = ex(0), ex(1), ex(2)
             if not re.fullmatch(r"[+-]?\d+", start):
                 return s
             a = max(0, len(s) + int(start)) if int(start) < 0 else int(start)
-            if not re.fullmatch(r"[+-]?\d+", size) or int(size) == 0:
+            if not re.fullmatch(r"[+-]?\d+", size):
                 return s[a:]
             b = a + int(size) if int(size) > 0 else len(s) + int(size)
             return s[a:b] if b > a else ""

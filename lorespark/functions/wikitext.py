@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import html
+import math
 import re
+import sys
 
 from lorespark.functions import html_dom
 from lorespark.functions.html_dom import Grid
@@ -15,7 +17,11 @@ _ATTR = re.compile(r"""([\w-]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'|]+))""")
 _LINK = re.compile(r"\[\[((?:[^\[\]]|\[(?!\[)|\](?!\]))*)\]\]")
 _FILE = re.compile(r"(?:file|image|文件|图像)$", re.I)
 _CATEGORY = re.compile(r"(?:category|分类)$", re.I)
-_MAP = re.compile(r"@@MAP\|([^|@]*)\|([^|@]*)\|(\d+)\|(\d+)\|([^@]*)@@")
+#: Containers may lie in one another as deep as a page has them.
+sys.setrecursionlimit(max(sys.getrecursionlimit(), 20_000))
+_NUMBER = r"\s*([+-]?(?:\d+\.?\d*|\.\d+))[^|]*"
+# Fixed value: the line that stands for a map: file, title, width, height, and left,top pairs.
+_MAP = re.compile(rf"\A\s*@@WIKIMAP\|([^|]*)\|([^|]*)\|{_NUMBER}\|{_NUMBER}\|([^|]*)(?:\|.*)?@@\s*\Z")
 _CONTAINER = re.compile(r"<(div|center|section|blockquote|ul|ol|table)\b[^>]*>", re.I)
 _VARIANT = re.compile(r"-\{([^{}]*)\}-")
 
@@ -151,12 +157,17 @@ def table_cells(text: str) -> list[dict]:
 
 
 def map_rows(line: str) -> dict | None:
-    """Image, title, size and markers of a map line."""
-    m = _MAP.search(line)
-    if not m:
+    """Image, title, size and markers of a map line; None without an image, a height or a marker."""
+    m = _MAP.match(line)
+    if not m or not m[1].strip() or float(m[4]) <= 0:
         return None
-    points = [p.split(",") for p in m[5].split(";") if p.count(",") == 1]
-    return {"image": m[1], "title": m[2], "width": int(m[3]), "height": int(m[4]), "markers": [{"left": float(a), "top": float(b)} for a, b in points]}
+    markers = [{"left": _float(a), "top": _float(b)} for a, b in (p.split(",") for p in m[5].split(";") if p.count(",") == 1)]
+    return {"image": m[1].strip(), "title": m[2].strip(), "width": float(m[3]), "height": float(m[4]), "markers": markers} if markers else None
+
+
+def _float(s: str) -> float:
+    m = re.match(r"\s*([+-]?(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?)", s)
+    return float(m[1]) if m else math.nan
 
 
 def _html_rows(kind: str, raw: str) -> list[tuple[str, int, str]]:
@@ -166,7 +177,7 @@ def _html_rows(kind: str, raw: str) -> list[tuple[str, int, str]]:
     return [("item", b["level"], plain(b["text"])) for b in html_dom.blocks(raw) if b["kind"] in ("bullet", "ordered")]
 
 
-def nodes(text: str, depth_left: int = 20) -> list[dict]:
+def nodes(text: str) -> list[dict]:
     """Block rows in pre-order: node_id, parent_id, depth, kind, level, text.
 
     Lists nest by their marks; lines of a paragraph join with a space; an item whose links or
@@ -232,7 +243,7 @@ def nodes(text: str, depth_left: int = 20) -> list[dict]:
                     add("image", gallery, 0, name.strip().partition(":")[2].strip() or name.strip())
                 i += 1
             i += 1
-        elif depth_left and (m := _CONTAINER.match(line)):
+        elif m := _CONTAINER.match(line):
             flush()
             tag, depth, raw = m[1].lower(), 0, "\n".join([line, *lines[i:]])
             end = len(raw)
@@ -251,9 +262,9 @@ def nodes(text: str, depth_left: int = 20) -> list[dict]:
                 top = add("container")
                 inner = re.sub(rf"\A<{tag}\b[^>]*>|</{tag}\s*>\Z", "", block, flags=re.I)
                 base = len(out)
-                for n in nodes(inner, depth_left - 1):
+                for n in nodes(inner):
                     add(n["kind"], top if n["parent_id"] < 0 else base + n["parent_id"], n["level"], n["text"])
-        elif _MAP.search(line):
+        elif map_rows(line):
             flush()
             add("map", body=map_rows(line)["title"])
         elif m := _LIST.match(line):

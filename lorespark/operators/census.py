@@ -105,3 +105,29 @@ def fuzzy_match(names: DataFrame, tables: DataFrame, shared: int = 8) -> DataFra
     around = b.select("table_name", F.explode(inner("b")).alias("k")).join(a.select("name", F.col("a").alias("k")), "k").select("name", "table_name")
     prefix = a.where(F.length("a") >= shared).select("name", F.left("a", F.lit(shared)).alias("k")).join(b.where(F.length("b") >= shared).select("table_name", F.left("b", F.lit(shared)).alias("k")), "k").select("name", "table_name")
     return within.unionByName(around).unionByName(prefix).distinct()
+
+
+def page_invokes(pages: DataFrame, page_col: str, text_col: str) -> DataFrame:
+    """(page, module, fn) of the module calls in a text, each once per page."""
+    calls = F.explode(F.regexp_extract_all(F.col(text_col), F.lit(r"\{\{\s*#invoke\s*:\s*([^|{}]+\|[^|{}]+?)\s*(?:\||\}\})"), 1))
+    parts = F.split("c", r"\|")
+    out = pages.select(F.col(page_col).alias("page"), calls.alias("c")).select("page", F.trim(parts[0]).alias("module"), F.trim(parts[1]).alias("fn"))
+    return out.where("module <> '' AND fn <> ''").distinct()
+
+
+def handler_coverage(invokes: DataFrame, modules: DataFrame, tables: DataFrame, stored: DataFrame) -> DataFrame:
+    """(handler, pages, first_page, tables, gap, verdict) of every module function that pages call.
+
+    `invokes` (page, module, fn), `modules` (module), `tables` (module, table_name), `stored`
+    (table_name). Module names meet in any case and show as the module spells itself. A handler
+    whose tables are all stored is `local`, one that lacks some is `snapshot`, one whose module is
+    not there is `unknown`. The pages of a handler are the rows of `rollup_pages`, of any number;
+    here they are counted.
+    """
+    own = modules.groupBy(F.lower("module").alias("k")).agg(F.min("module").alias("known"))
+    state = tables.select(F.lower("module").alias("k"), "table_name").distinct().join(stored.select("table_name").distinct().withColumn("there", F.lit(True)), "table_name", "left")
+    of = state.groupBy("k").agg(F.count("*").alias("tables"), F.count_if(F.col("there").isNull()).alias("gap"))
+    calls = invokes.withColumn("k", F.lower("module")).groupBy("k", "fn").agg(F.countDistinct("page").alias("pages"), F.min("page").alias("first_page"), F.min("module").alias("called"))
+    joined = calls.join(own, "k", "left").join(of, "k", "left").fillna(0, ["tables", "gap"])
+    verdict = F.when(F.col("known").isNull(), "unknown").when(F.col("gap") > 0, "snapshot").otherwise("local")
+    return joined.select(F.concat_ws("|", F.coalesce("known", "called"), "fn").alias("handler"), "pages", "first_page", "tables", "gap", verdict.alias("verdict"))

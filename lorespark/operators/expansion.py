@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lorespark.functions.strings import without_namespace
+from lorespark.functions.strings import namespace_of, without_namespace
 from lorespark.functions.template import Expander
 from lorespark.functions.titles import clean_title, uc_first
 from lorespark.session import materialise, ship
@@ -62,16 +62,19 @@ def _missed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch([batch.column(0), pa.array(missed, pa.list_(pa.string()))], names=["id", "names"])
 
 
-def expand_pages(pages: DataFrame, templates: DataFrame, limit: int = BROADCAST_CHARS, order_col: str | None = None) -> DataFrame:
+def expand_pages(pages: DataFrame, templates: DataFrame, limit: int = BROADCAST_CHARS, order_col: str | None = None, namespaces: tuple[str, ...] = ("模板", "Template")) -> DataFrame:
     """(title, expanded, props) of pages (title, content) with templates (title, content).
 
     Of templates whose titles are alike but for underscores, spaces and the case of the first letter
-    the one with the greatest `order_col` is taken. The size of the templates is checked: small ones
+    one of a namespace that comes earlier in `namespaces` is taken, then the one with the greatest
+    `order_col`. The size of the templates is checked: small ones
     are shipped once. Beyond `limit` characters each page gets just those it calls: in rounds, pages
     are expanded and the names asked for in vain are joined, until none of them is a template.
     """
     ship(pages.sparkSession)
-    pick = F.max_by("content", order_col) if order_col else F.min("content")
+    known = F.array_position(F.array(*[F.lit(n.lower()) for n in namespaces]), F.lower(namespace_of(F.col("title"))))
+    rank = F.when(known > 0, -known).otherwise(F.lit(-(len(namespaces) + 1)))
+    pick = F.max_by("content", F.struct(rank, F.col(order_col))) if order_col else F.min_by("content", F.struct(-rank, "content"))
     named = templates.where("content IS NOT NULL").groupBy(uc_first(clean_title(without_namespace(F.col("title")))).alias("name")).agg(pick.alias("content"))
     size = named.agg(F.coalesce(F.sum(F.length("content")), F.lit(0)).alias("n")).first()["n"]
     if size <= limit:

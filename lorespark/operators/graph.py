@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from lorespark.functions import markup
 from lorespark.functions.titles import canonical_title
-from lorespark.session import materialise, ship
+from lorespark.session import materialise, scratch, ship
 
 
 def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -29,6 +29,11 @@ def page_edges(pages: DataFrame) -> DataFrame:
     return edges.withColumn("kind", kind)
 
 
+def kind_counts(edges: DataFrame) -> DataFrame:
+    """(kind, links, pages, targets): how many links of each kind there are, on how many pages, to how many titles."""
+    return edges.groupBy("kind").agg(F.count("*").alias("links"), F.countDistinct("src").alias("pages"), F.countDistinct("dst").alias("targets"))
+
+
 def union_edges(*edges: DataFrame) -> DataFrame:
     """Distinct (src, dst) of several edge tables, self-links left out."""
     out = edges[0].select("src", "dst")
@@ -41,29 +46,29 @@ def both_ways(edges: DataFrame) -> DataFrame:
     return union_edges(edges, edges.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
 
 
-def levels(edges: DataFrame, start: DataFrame, max_depth: int = 64) -> DataFrame:
-    """(node, level, parent): breadth-first from `start` (node); of several parents on the level before, the least.
+def levels(edges: DataFrame, start: DataFrame) -> DataFrame:
+    """(node, level, parent): breadth-first from `start` (node) to the last level; of several parents on the level before, the least.
 
-    Each round joins the frontier with the edges and drops what was seen; the new frontier is
-    written, so that neither lineage nor plan grows. Parents are aggregated before anything is
-    kept, so a node with very many in-links is one row.
+    Each round joins the frontier with the edges and drops what was seen. What a round finds is
+    appended to one stored table of all nodes seen, so that neither lineage nor plan grows. Parents
+    are aggregated before anything is kept, so a node with very many in-links is one row.
     """
+    spark = start.sparkSession
+    kind = dict(start.dtypes)["node"]
     edges = materialise(edges.select("src", "dst").distinct())
-    seen = materialise(start.select("node").distinct().select("node", F.lit(0).alias("level"), F.lit(None).cast(dict(start.dtypes)["node"]).alias("parent")))
-    front, parts = seen, [seen]
-    for depth in range(1, max_depth + 1):
-        reached = front.join(edges, F.col("node") == F.col("src")).groupBy("dst").agg(F.min("src").alias("parent"))
-        old = parts[0].select("node")
-        for p in parts[1:]:
-            old = old.unionByName(p.select("node"))
-        front = materialise(reached.join(old, F.col("dst") == F.col("node"), "left_anti").select(F.col("dst").alias("node"), F.lit(depth).alias("level"), "parent"))
-        if front.isEmpty():
-            break
-        parts.append(front)
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    path = scratch(spark, "levels")
+    begin = start.where("node IS NOT NULL").select("node").distinct().select("node", F.lit(None).cast(kind).alias("parent"))
+    begin.write.parquet(f"{path}/level=0")
+    depth = 0
+    seen = lambda: spark.read.schema(f"node {kind}, parent {kind}, level int").parquet(path)
+    front = spark.read.schema(f"node {kind}, parent {kind}").parquet(f"{path}/level=0")
+    while not front.isEmpty():
+        depth += 1
+        reached = front.join(edges, F.col("node") == F.col("src")).groupBy("dst").agg(F.min("src").alias("parent")).where("dst IS NOT NULL")
+        new = reached.join(seen().select("node"), F.col("dst") == F.col("node"), "left_anti").select(F.col("dst").alias("node"), "parent")
+        new.write.parquet(f"{path}/level={depth}")
+        front = spark.read.schema(f"node {kind}, parent {kind}").parquet(f"{path}/level={depth}")
+    return seen().select("node", "level", "parent")
 
 
 def with_unreachable(nodes: DataFrame, reached: DataFrame) -> DataFrame:
@@ -71,19 +76,17 @@ def with_unreachable(nodes: DataFrame, reached: DataFrame) -> DataFrame:
     return nodes.select("node").distinct().join(reached, "node", "left").withColumn("level", F.coalesce("level", F.lit(-1)))
 
 
-def closure(edges: DataFrame, max_rounds: int = 32) -> DataFrame:
+def closure(edges: DataFrame) -> DataFrame:
     """(src, dst) for every node that can be reached from another, itself only over a cycle.
 
-    Semi-naive rounds: only pairs found in the last round are extended. The result grows with
-    the pairs, so this is for dependency graphs, not for link graphs of whole corpora.
+    Rounds double the length of the paths they know: what the last round found is extended by all
+    that is known, until nothing is new, so a chain of n edges takes log n rounds. The result grows
+    with the pairs, so this is for dependency graphs, not for link graphs of whole corpora.
     """
-    base = materialise(edges.select("src", "dst").distinct())
-    seen = new = base
-    step = base.select(F.col("src").alias("dst"), F.col("dst").alias("further"))
-    for _ in range(max_rounds):
+    seen = new = materialise(edges.where("src IS NOT NULL AND dst IS NOT NULL").select("src", "dst").distinct())
+    while not new.isEmpty():
+        step = seen.select(F.col("src").alias("dst"), F.col("dst").alias("further"))
         new = materialise(new.join(step, "dst").select("src", F.col("further").alias("dst")).distinct().join(seen, ["src", "dst"], "left_anti"))
-        if new.isEmpty():
-            break
         seen = materialise(seen.unionByName(new))
     return seen
 

@@ -78,10 +78,10 @@ def save_snapshot(props: DataFrame, path: str, site: str) -> None:
 
 def load_snapshot(spark: SparkSession, path: str, site: str) -> DataFrame | None:
     """The table of a site, or None if there is none of this version: then it is to be rebuilt."""
-    try:
-        df = spark.read.parquet(path)
-    except Exception:  # no snapshot yet
+    there = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not there.getFileSystem(spark._jsc.hadoopConfiguration()).exists(there):
         return None
+    df = spark.read.parquet(path)
     df = df.where((F.col("schema_version") == SCHEMA_VERSION) & (F.col("site") == site)).select("title", "prop", "value", "pos")
     return None if df.isEmpty() else df
 

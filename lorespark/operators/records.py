@@ -156,3 +156,51 @@ def in_order(a: Column, names: list[str]) -> Column:
     """A list of names in the order of `names`, unknown ones after them by name."""
     keyed = F.transform(a, lambda x: F.struct(listed_first(x, names).alias("o"), x.alias("x")))
     return F.transform(F.sort_array(keyed), lambda s: s["x"])
+
+
+def map_entries(df: DataFrame, id_col: str, map_col: str, name: str | Column, above: int | None = None, below: int | None = None, inside: bool = True) -> DataFrame:
+    """(id, pos, entry_id, entry_title) of the entries that a name has in a map of name to array of (id, title).
+
+    With bounds only ids strictly between them are taken, or with `inside=False` only the others.
+    An unknown name, a null map and an empty array give nothing.
+    """
+    listed = F.try_element_at(F.col(map_col), F.lit(name) if isinstance(name, str) else name)
+    out = df.select(F.col(id_col), F.posexplode(listed).alias("pos", "e")).select(id_col, "pos", F.col("e.id").alias("entry_id"), F.col("e.title").alias("entry_title"))
+    if above is None and below is None:
+        return out
+    between = F.lit(True)
+    if above is not None:
+        between = between & (F.col("entry_id") > above)
+    if below is not None:
+        between = between & (F.col("entry_id") < below)
+    return out.where(between if inside else ~between)
+
+
+def placements_by_area(values: DataFrame, places: DataFrame, name_col: str, areas_col: str, skip_suffix: str = "") -> DataFrame:
+    """(query, area, place columns): query values (query, value) joined to places by trimmed name, once for each of their areas.
+
+    Places without a name, empty areas and areas that end with `skip_suffix` are left out. The group
+    of an area is its rows, so an area may have any number of them.
+    """
+    keyed = values.select("query", F.trim("value").alias("__v")).where("__v <> ''").distinct()
+    fanned = places.where(F.col(name_col) != "").withColumn("area", F.explode(areas_col)).where("area <> ''").drop(areas_col)
+    if skip_suffix:
+        fanned = fanned.where(~F.col("area").endswith(skip_suffix))
+    return keyed.join(fanned, F.col("__v") == F.col(name_col)).drop("__v")
+
+
+def holds_any_case(array: Column, wanted: Column) -> Column:
+    """Whether an array holds a text in any case; false for a null or empty array."""
+    return F.coalesce(F.exists(array, lambda x: F.lower(x) == F.lower(wanted)), F.lit(False))
+
+
+def unpivot_nested(df: DataFrame, keep: list[str], outer: dict[str, str], inner: dict[str, list[str]]) -> DataFrame:
+    """One row per filled slot of struct columns: `outer` names the columns (column: section name), `inner` the
+    repeated fields of each struct, as in `unpivot_slots`. Null structs have no slots."""
+    parts = None
+    for column, section in outer.items():
+        fields = [F.col(f"{column}.{f}").alias(f) for names in inner.values() for f in names]
+        flat = df.where(F.col(column).isNotNull()).select(*keep, F.lit(section).alias("section"), *fields)
+        one = unpivot_slots(flat, [*keep, "section"], inner)
+        parts = one if parts is None else parts.unionByName(one)
+    return parts

@@ -91,6 +91,24 @@ def probe_files(wanted: DataFrame, stored: DataFrame) -> DataFrame:
     return wanted.join(hit, "name", "left").withColumn("known", F.col("stored_name").isNotNull())
 
 
+def href_titles(links: DataFrame, titles: DataFrame, folder: str = "") -> DataFrame:
+    """`links` (.., target) with `resolved`: the title in the catalogue that a path below `folder` stands for, or null.
+
+    Percent-encoding is undone; underscores, spaces and direction marks do not count. Of titles
+    alike in this form the least is taken.
+    """
+    bare = F.regexp_replace("target", f"^/*{folder}", "")
+    name = clean_title(F.coalesce(F.try_url_decode(bare), bare))
+    known = titles.select(clean_title(F.col("title")).alias("__name"), F.col("title").alias("resolved")).groupBy("__name").agg(F.min("resolved").alias("resolved"))
+    return links.withColumn("__name", name).join(known, "__name", "left").drop("__name")
+
+
+def exists_or_unknown(names: DataFrame, probed: DataFrame) -> DataFrame:
+    """`names` (name) with `present`: true where a probe (name, stored_name) found the file or none was made yet, false where one found nothing."""
+    state = probed.groupBy("name").agg(F.max(F.col("stored_name").isNotNull()).alias("found"))
+    return names.join(state, "name", "left").withColumn("present", F.coalesce("found", F.lit(True))).drop("found")
+
+
 def follow_redirects(redirects: DataFrame, hops: int = 5) -> DataFrame:
     """(source, target, hops): where each redirect ends after at most `hops` steps; loops end where the steps do.
 
@@ -138,11 +156,12 @@ def subset(manifest: DataFrame, namespaces: list[int], titles: DataFrame) -> Dat
     return manifest.where(F.col("ns").isin(namespaces)).unionByName(by_title)
 
 
-def dependency_subset(start: DataFrame, edges: DataFrame, rounds: int = 10) -> DataFrame:
-    """Titles reachable from `start` (title) over `edges` (src, dst) in at most `rounds` steps."""
+def dependency_subset(start: DataFrame, edges: DataFrame, rounds: int | None = None) -> DataFrame:
+    """Titles reachable from `start` (title) over `edges` (src, dst), or in at most `rounds` steps where that is asked for."""
     seen = materialise(start.select("title").distinct())
-    front = seen
-    for _ in range(rounds):
+    front, done = seen, 0
+    while rounds is None or done < rounds:
+        done += 1
         new = materialise(front.join(edges, F.col("title") == F.col("src")).select(F.col("dst").alias("title")).distinct().join(seen, "title", "left_anti"))
         if new.isEmpty():
             break

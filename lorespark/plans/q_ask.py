@@ -188,17 +188,29 @@ def title_from_path(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "manifest").where("path <> ''").select("ord", T.title_from_path(normal_path(F.col("path"))).alias("path_title"))
 
 
-@query(r"""
+_UC, _LC = "upper({0}[1]) || substr({0}, 2)", "lower({0}[1]) || substr({0}, 2)"
+_NS, _NAME = "split_part({0}, ':', 1) || ':'", "substr({0}, strpos({0}, ':') + 1)"
+_VARIANTS = "[b, " + _UC.format("b") + ", " + _LC.format("b") + ", " + ", ".join(f"CASE WHEN strpos(b, ':') > 1 THEN {_NS.format('b')} || {f.format('(' + _NAME.format('b') + ')')} ELSE b END" for f in (_UC, _LC)) + "]"
+
+
+@query(rf"""
 WITH t AS (SELECT DISTINCT title FROM manifest WHERE title <> '' AND path <> ''),
-l AS (SELECT rec_no, trim(regexp_replace(regexp_extract(content, '^#(?:REDIRECT|重定向)\s*\[\[([^\]|#]+)', 1), '[_\s]+', ' ', 'g')) AS target FROM sdv_full),
-c AS (SELECT rec_no, target, 1 AS p, target AS title FROM l WHERE target <> '' UNION ALL SELECT rec_no, target, 2, upper(target[1]) || substr(target, 2) FROM l WHERE target <> '' UNION ALL SELECT rec_no, target, 3, lower(target[1]) || substr(target, 2) FROM l WHERE target <> '')
-SELECT l.rec_no, l.target, h.title AS resolved FROM l LEFT JOIN (SELECT rec_no, arg_min(c.title, p) AS title FROM c JOIN t USING (title) GROUP BY rec_no) h USING (rec_no) WHERE target <> ''""")
+l AS (SELECT DISTINCT trim(regexp_replace(replace(title, chr(8206), ''), '[_\s]+', ' ', 'g')) AS page, unnest(regexp_extract_all(content, '\[\[([^\[\]|{{}}\n]+)', 1)) AS target FROM sdv_full),
+c AS (SELECT page, target, trim(regexp_replace(replace(split_part(target, '#', 1), chr(8206), ''), '[_\s]+', ' ', 'g')) AS t FROM l WHERE page IS NOT NULL),
+d AS (SELECT *, CASE WHEN strpos(t, ':') > 0 THEN split_part(t, ':', 1) ELSE '' END AS tns, CASE WHEN strpos(page, ':') > 0 THEN split_part(page, ':', 1) ELSE '' END AS pns FROM c),
+e AS (SELECT page, target, [CASE WHEN starts_with(t, '/') THEN page || '/' || trim(t, '/') WHEN starts_with(t, '../') THEN regexp_replace(page, '/[^/]*$', '') || substr(t, 3) END, t,
+  CASE lower(tns) {" ".join(f"WHEN '{a}' THEN '{c}:' || trim(substr(t, strpos(t, ':') + 1))" for a, c in NAMESPACE_ALIASES.items())} END, CASE WHEN pns <> '' AND tns = '' THEN pns || ':' || t END] AS bases FROM d),
+b AS (SELECT page, target, i, bases[i] AS b FROM (SELECT *, unnest(range(1, 5)) AS i FROM e) WHERE bases[i] IS NOT NULL AND bases[i] <> ''),
+v AS (SELECT page, target, i, j, vs[j] AS title FROM (SELECT *, {_VARIANTS} AS vs, unnest(range(1, 6)) AS j FROM b)),
+h AS (SELECT page, target, arg_min(v.title, i * 10 + j) AS resolved FROM v JOIN t USING (title) GROUP BY ALL)
+SELECT c.page, c.target, h.resolved FROM c LEFT JOIN h ON h.page = c.page AND h.target = c.target""")
 def link_resolution(spark: SparkSession, d: str) -> DataFrame:
-    target = F.regexp_extract("content", r"^#(?:REDIRECT|重定向)\s*\[\[([^\]|#]+)", 1)
+    """Every wiki link of every page against the catalogue."""
     from lorespark.functions.titles import clean_title
 
-    links = table(spark, d, "sdv_full").select("rec_no", F.lit("").alias("page"), clean_title(target).alias("target")).where("target <> ''")
-    return T.resolve_links(links, T.entries(table(spark, d, "manifest")), NAMESPACE_ALIASES).select("rec_no", "target", "resolved")
+    targets = F.regexp_extract_all("content", F.lit(r"\[\[([^\[\]|{{}}\n]+)".replace("{{}}", "{}")), 1)
+    links = table(spark, d, "sdv_full").select(clean_title(F.col("title")).alias("page"), F.explode(targets).alias("target")).where("page IS NOT NULL").distinct()
+    return T.resolve_links(links, T.entries(table(spark, d, "manifest")), NAMESPACE_ALIASES).select("page", "target", "resolved")
 
 
 @query(r"""

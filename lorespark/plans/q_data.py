@@ -58,9 +58,9 @@ file AS (
   FROM flat WHERE file_path <> '' GROUP BY ALL)
 """
 
-_CANON = r"""CASE WHEN regexp_matches(t, '(?i)^(category|分类) ?:') THEN 'Category:' || upper(n[1]) || substr(n, 2) WHEN regexp_matches(t, '(?i)^(file|image|文件) ?:') THEN 'File:' || upper(n[1]) || substr(n, 2)
+CANON_SQL = r"""CASE WHEN regexp_matches(t, '(?i)^(category|分类) ?:') THEN 'Category:' || upper(n[1]) || substr(n, 2) WHEN regexp_matches(t, '(?i)^(file|image|文件) ?:') THEN 'File:' || upper(n[1]) || substr(n, 2)
   WHEN regexp_matches(t, '(?i)^(template|模板) ?:') THEN 'Template:' || upper(n[1]) || substr(n, 2) WHEN regexp_matches(t, '(?i)^(module|模块) ?:') THEN 'Module:' || upper(n[1]) || substr(n, 2) ELSE upper(t[1]) || substr(t, 2) END"""
-_SQL_ORPHANS = (
+SQL_ORPHANS = (
     r"""
 WITH bare AS (
   SELECT rec_no, ns, dumped_at, trim(regexp_replace(regexp_replace(split_part(title, '#', 1), '[\x{061c}\x{200e}\x{200f}\x{202a}-\x{202e}\x{2066}-\x{2069}]', '', 'g'), '[_\s]+', ' ', 'g')) AS title,
@@ -88,7 +88,7 @@ named AS (
   UNION ALL SELECT 'parent', NULL, listed_at, 'File:' || name, NULL, NULL FROM images_manifest WHERE name <> '' AND path <> ''
   UNION ALL SELECT 'log', NULL, logged_at, title, lower(trim(log_action)) = 'delete', log_id FROM page_log WHERE lower(trim(log_action)) IN ('delete', 'restore')),
 form AS (SELECT * EXCLUDE (raw, t, n), """
-    + _CANON
+    + CANON_SQL
     + r""" AS ref_title FROM (SELECT *, trim(substr(t, strpos(t, ':') + 1)) AS n FROM (
   SELECT *, trim(regexp_replace(regexp_replace(regexp_replace(split_part(raw, '#', 1), '[\x{061c}\x{200e}\x{200f}\x{202a}-\x{202e}\x{2066}-\x{2069}]', '', 'g'), '[_\s]+', ' ', 'g'), '^:+ ?', '')) AS t FROM named))),
 refs AS (SELECT DISTINCT rec_no, moment AS dumped_at, ref_title FROM form WHERE what = 'ref' AND ref_title <> ''),
@@ -107,8 +107,8 @@ _SQL_PLAN = (
 
 QUERIES = {"p4_found": p4_found, "p4_snapshot": p4_snapshot, "p5_found": p5_found, "p5_plan": p5_plan, "p5_ranges": p5_ranges}
 SQL = {
-    "p4_found": _SQL_ORPHANS + "SELECT rec_no, ref_title, status FROM orphan WHERE status IS NOT NULL",
-    "p4_snapshot": _SQL_ORPHANS + "SELECT CASE WHEN starts_with(ref_title, 'File:') THEN 'images_manifest' ELSE 'manifest' END AS target_table, strftime(dumped_at, '%Y-%m') AS period, status, count(*) AS orphan_refs, count(DISTINCT ref_title) AS orphan_titles FROM orphan WHERE status IS NOT NULL GROUP BY ALL",
+    "p4_found": SQL_ORPHANS + "SELECT rec_no, ref_title, status FROM orphan WHERE status IS NOT NULL",
+    "p4_snapshot": SQL_ORPHANS + "SELECT CASE WHEN starts_with(ref_title, 'File:') THEN 'images_manifest' ELSE 'manifest' END AS target_table, strftime(dumped_at, '%Y-%m') AS period, status, count(*) AS orphan_refs, count(DISTINCT ref_title) AS orphan_titles FROM orphan WHERE status IS NOT NULL GROUP BY ALL",
     "p5_found": _SQL_FILES + "SELECT listing, file_path FROM file WHERE file_bytes < 1024",
     "p5_plan": _SQL_PLAN + "SELECT * FROM plan",
     "p5_ranges": _SQL_PLAN + "SELECT listing, bundle, min(file_path) AS first_path, max(file_path) AS last_path, count(*) AS files, CAST(sum(file_bytes) AS BIGINT) AS total_bytes FROM plan GROUP BY ALL",

@@ -86,7 +86,7 @@ def page_words(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("""SELECT c_custkey, lower(c_name) AS lc, upper(c_name) AS uc, lower(c_name[1]) || substr(c_name, 2) AS lcfirst, upper(c_mktsegment[1]) || substr(c_mktsegment, 2) AS ucfirst, lower(replace(c_name, '_', ' ')) AS look,
-CASE c_nationkey WHEN 10 THEN 'Template' WHEN 14 THEN 'Category' WHEN 0 THEN '' WHEN 1 THEN 'Talk' WHEN 2 THEN 'User' WHEN 4 THEN 'Project' WHEN 6 THEN 'File' ELSE CAST(c_nationkey AS VARCHAR) END AS ns,
+CASE c_nationkey WHEN 10 THEN 'Template' WHEN 14 THEN 'Category' WHEN 0 THEN '' WHEN 1 THEN 'Talk' WHEN 2 THEN 'User' WHEN 4 THEN 'Project' WHEN 6 THEN 'File' WHEN 3 THEN 'User talk' WHEN 8 THEN 'MediaWiki' WHEN 12 THEN 'Help' ELSE CAST(c_nationkey AS VARCHAR) END AS ns,
 regexp_replace(replace(c_name, '#', '%23'), ' ', '%20', 'g') AS encoded FROM customer""")
 def case_and_code_words(spark: SparkSession, d: str) -> DataFrame:
     n = F.col("c_name")

@@ -99,8 +99,8 @@ def html_link_resolution(spark: SparkSession, d: str) -> DataFrame:
 def map_lines(spark: SparkSession, d: str) -> DataFrame:
     from lorespark.functions import wikitext
 
-    line = F.format_string("@@MAP|a.png|%s|100|200|%d,5@@", "p_name", "p_size")
-    rows = parsing.rows_of(table(spark, d, "part").select("p_partkey", line.alias("t")), "p_partkey", "t", lambda t: [r for r in [wikitext.map_rows(t)] if r], "image string, title string, width int, height int, markers array<struct<left:double,top:double>>")
+    line = F.format_string("@@WIKIMAP|a.png|%s|100|200|%d,5@@", "p_name", "p_size")
+    rows = parsing.rows_of(table(spark, d, "part").select("p_partkey", line.alias("t")), "p_partkey", "t", lambda t: [r for r in [wikitext.map_rows(t)] if r], "image string, title string, width double, height double, markers array<struct<left:double,top:double>>")
     return rows.select("p_partkey", F.col("title").alias("image_title"), F.inline("markers")).withColumnsRenamed({"left": "left_pct", "top": "top_pct"})
 
 
@@ -132,13 +132,19 @@ def chunk_spanned_rows(spark: SparkSession, d: str) -> DataFrame:
     return B.chunk_spanned_rows(rows, "l_orderkey", "l_linenumber", "span", 2).select("l_orderkey", "l_linenumber", "chunk")
 
 
-@query(r"""WITH l AS (SELECT rec_no, unnest(range(1, len(x) + 1)) AS no, x FROM (SELECT rec_no, string_split(content, chr(10)) AS x FROM sdv_full)),
-h AS (SELECT rec_no, sum(CASE WHEN regexp_matches(x[no], '^=+[^=].*=+\s*$|^''{3}[^'']+''{3}\s*$') THEN 1 ELSE 0 END) AS n, sum(length(x[no]) + 1) AS size FROM l GROUP BY rec_no)
-SELECT rec_no, CAST(sum(CASE WHEN size >= 2000 AND n >= 2 THEN 1 ELSE 0 END) AS BIGINT) AS is_split FROM h GROUP BY rec_no""")
+@query(r"""WITH l AS (SELECT rec_no, no, coalesce(x[no], '') AS t FROM (SELECT rec_no, unnest(range(1, len(x) + 1)) AS no, x FROM (SELECT rec_no, string_split(content, chr(10)) AS x FROM sdv_full))),
+h AS (SELECT *, regexp_matches(t, '^=+[^=].*=+\s*$|^''{3}[^'']+''{3}\s*$') AS h FROM l),
+s AS (SELECT *, sum(h::INT) OVER (PARTITION BY rec_no ORDER BY no) AS section, sum(length(t) + 1) OVER (PARTITION BY rec_no) AS size, sum(h::INT) OVER (PARTITION BY rec_no) AS n FROM h),
+c AS (SELECT *, size >= 2000 AND n >= 2 AS big, sum(regexp_matches(t, '^[*#]')::INT) OVER (PARTITION BY rec_no, section ORDER BY no) AS items FROM s),
+p AS (SELECT rec_no, CASE WHEN big THEN section ELSE 0 END AS sec, CASE WHEN big THEN greatest(items - 1, 0) // 10 ELSE 0 END AS piece, no, t, h FROM c),
+g AS (SELECT rec_no, sec, piece, coalesce(arg_min(regexp_replace(t, '^[=''\s]+|[=''\s]+$', '', 'g'), no) FILTER (WHERE h), '') AS label, count(*) AS n_lines, md5(string_agg(t, chr(10) ORDER BY no)) AS digest FROM p GROUP BY ALL),
+k AS (SELECT *, row_number() OVER (PARTITION BY rec_no, label ORDER BY sec, piece) AS again, CAST(row_number() OVER (PARTITION BY rec_no ORDER BY sec, piece) - 1 AS INT) AS part FROM g)
+SELECT rec_no, part, CASE WHEN again > 1 THEN label || ' (' || again || ')' ELSE label END AS label, n_lines, digest FROM k""")
 def page_splitting(spark: SparkSession, d: str) -> DataFrame:
+    """The parts of every page; at 2,000 characters and 10 items, for no page of the tables is as long as the default limit."""
     lines = table(spark, d, "sdv_full").select("rec_no", F.posexplode(F.split("content", "\n")).alias("no", "line"))
-    parts = B.split_pages(lines, "rec_no", "no", "line", limit=2000, items=1_000_000)
-    return parts.groupBy("rec_no").agg((F.count("*") > 1).cast("bigint").alias("is_split"))
+    parts = B.split_pages(lines, "rec_no", "no", "line", limit=2000, items=10)
+    return parts.select("rec_no", "part", "label", F.size("lines").cast("bigint").alias("n_lines"), F.md5(F.array_join("lines", "\n")).alias("digest"))
 
 
 @query("""WITH RECURSIVE e AS (SELECT p_partkey AS src, p_partkey // 3 AS dst FROM part), r AS (SELECT p_partkey AS title, 0 AS n FROM part WHERE p_brand = 'Brand#4' UNION SELECT e.dst, r.n + 1 FROM r JOIN e ON e.src = r.title WHERE r.n < 20) SELECT DISTINCT title FROM r""")

@@ -9,6 +9,7 @@ from lorespark.operators import census as C
 from lorespark.operators import graph as G
 from lorespark.operators import records as R
 from lorespark.operators import tables as B
+from lorespark.plans.q_data import CANON_SQL, SQL_ORPHANS
 from lorespark.session import table
 
 QUERIES: dict = {}
@@ -63,9 +64,10 @@ def record_first_last_match(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("""SELECT event_id, coalesce(nullif(s_name, ''), nullif(c_name, ''), nullif(n_name, '')) AS resolved FROM events
-LEFT JOIN (SELECT * FROM supplier WHERE s_suppkey < 10) ON s_suppkey = user_id LEFT JOIN (SELECT * FROM customer WHERE c_custkey < 30) ON c_custkey = user_id LEFT JOIN nation ON n_nationkey = user_id % 25""")
+LEFT JOIN supplier ON s_suppkey = user_id LEFT JOIN customer ON c_custkey = user_id * 11 LEFT JOIN nation ON n_nationkey = user_id % 30""")
 def fallback_chain_coalesce(spark: SparkSession, d: str) -> DataFrame:
-    steps = [(table(spark, d, "supplier").where("s_suppkey < 10"), F.col("user_id"), "s_suppkey", "s_name"), (table(spark, d, "customer").where("c_custkey < 30"), F.col("user_id"), "c_custkey", "c_name"), (table(spark, d, "nation"), F.col("user_id") % 25, "n_nationkey", "n_name")]
+    """Users that no supplier has fall to a customer, those beyond the customers to a nation, and some to nothing."""
+    steps = [(table(spark, d, "supplier"), F.col("user_id"), "s_suppkey", "s_name"), (table(spark, d, "customer"), F.col("user_id") * 11, "c_custkey", "c_name"), (table(spark, d, "nation"), F.col("user_id") % 30, "n_nationkey", "n_name")]
     return R.fallback_chain(table(spark, d, "events").select("event_id", "user_id"), steps, "resolved").select("event_id", "resolved")
 
 
@@ -242,12 +244,44 @@ def link_degrees(spark: SparkSession, d: str) -> DataFrame:
     return G.degrees(_order_edges(spark, d))
 
 
-@query()
+# The references of every record, of any namespace, without its own title, in the form of titles.
+_SQL_LINKS = (
+    SQL_ORPHANS.split("refs AS (")[0].replace("ns <> 828", "true").replace("SELECT rec_no, dumped_at, title AS raw FROM bare\n", "SELECT rec_no, dumped_at, raw FROM (SELECT NULL AS rec_no, NULL AS dumped_at, NULL AS raw) WHERE false\n").replace("WHERE ns = 828", "WHERE false").replace("WITH bare", "WITH RECURSIVE bare")
+    + """own AS (SELECT rec_no, ref_title AS src FROM (SELECT rec_no, title, """
+    + CANON_SQL
+    + """ AS ref_title FROM (SELECT *, trim(substr(t, strpos(t, ':') + 1)) AS n FROM (SELECT rec_no, title, trim(regexp_replace(title, '^:+ ?', '')) AS t FROM bare)))),
+edge AS (SELECT DISTINCT src, ref_title AS dst FROM form JOIN own USING (rec_no) WHERE what = 'ref' AND src <> '' AND ref_title <> '' AND src <> ref_title),
+kinds AS (SELECT src, dst, CASE WHEN starts_with(dst, 'Category:') THEN 'category_link' WHEN starts_with(dst, 'File:') THEN 'file_ref' WHEN starts_with(dst, 'Template:') THEN 'template' WHEN starts_with(dst, 'Module:') THEN 'invoke' ELSE 'wikilink' END AS kind FROM edge)
+"""
+)
+
+
+@query(_SQL_LINKS + "SELECT src, dst, kind FROM kinds")
 def wiki_link_edges(spark: SparkSession, d: str) -> DataFrame:
     return G.page_edges(table(spark, d, "sdv_full"))
 
 
-@query()
+@query(_SQL_LINKS + "SELECT kind, count(*) AS links, count(DISTINCT src) AS pages, count(DISTINCT dst) AS targets FROM kinds GROUP BY kind")
+def link_kind_counts(spark: SparkSession, d: str) -> DataFrame:
+    return G.kind_counts(G.page_edges(table(spark, d, "sdv_full")))
+
+
+@query("SELECT CAST(range AS BIGINT) AS node, CAST(range AS INT) AS level, CASE WHEN range > 0 THEN CAST(range - 1 AS BIGINT) END AS parent FROM range(0, 67)")
+def long_chain_levels(spark: SparkSession, d: str) -> DataFrame:
+    """A chain of edges, as long redirect and category chains are: every level is reached."""
+    edges = spark.range(66).select(F.col("id").alias("src"), (F.col("id") + 1).alias("dst"))
+    return G.levels(edges, spark.createDataFrame([(0,)], "node bigint"))
+
+
+@query("SELECT CAST(a.range AS BIGINT) AS src, CAST(b.range AS BIGINT) AS dst FROM range(0, 201) a JOIN range(0, 201) b ON a.range < b.range")
+def long_chain_closure(spark: SparkSession, d: str) -> DataFrame:
+    """The closure of a chain of 200 edges: all pairs, in eight rounds."""
+    return G.closure(spark.range(200).select(F.col("id").alias("src"), (F.col("id") + 1).alias("dst")))
+
+
+@query(_SQL_LINKS + """, walk AS (SELECT 'Village Notice Board' AS node, 0 AS level UNION SELECT dst, level + 1 FROM walk JOIN edge ON src = node WHERE level < 30),
+best AS (SELECT node, min(level) AS level FROM walk GROUP BY node)
+SELECT node, CAST(level AS INT) AS level, (SELECT min(p.node) FROM best p JOIN edge ON src = p.node WHERE dst = best.node AND p.level = best.level - 1) AS parent FROM best""")
 def wiki_link_levels(spark: SparkSession, d: str) -> DataFrame:
     return G.levels(G.page_edges(table(spark, d, "sdv_full")), spark.createDataFrame([("Village Notice Board",)], "node string"))
 
@@ -314,12 +348,24 @@ def handler_rollup(spark: SparkSession, d: str) -> DataFrame:
     return C.rollup_pages(table(spark, d, "events"), "event_type", "user_id")
 
 
-@query("SELECT rec_no, (CASE WHEN contains(content, '{{') THEN '{{ ' ELSE '' END) || (CASE WHEN contains(content, '[[') THEN '[[ ' ELSE '' END) || (CASE WHEN contains(content, '<nowiki') THEN '<nowiki ' ELSE '' END) AS leaked FROM sdv_full WHERE contains(content, '{{') OR contains(content, '[[') OR contains(content, '<nowiki')")
+_SQL_LEAKED = " || ".join("(CASE WHEN contains(content, '{0}') THEN '{0} ' ELSE '' END)".format(m.replace("'", "''")) for m in C.LEAK_MARKS)
+
+
+@query(f"SELECT * FROM (SELECT rec_no, {_SQL_LEAKED} AS leaked FROM sdv_full) WHERE leaked <> ''")
 def leak_sweep(spark: SparkSession, d: str) -> DataFrame:
-    found = C.leaks(table(spark, d, "sdv_full"), "content", ["{{", "[[", "<nowiki"])
+    found = C.leaks(table(spark, d, "sdv_full"), "content")
     return found.select("rec_no", F.array_join(F.transform("leaked", lambda x: F.concat(x, F.lit(" "))), "").alias("leaked"))
 
 
+@query()
+def leak_sweep_expanded(spark: SparkSession, d: str) -> DataFrame:
+    """What expansion leaves behind in the pages of the main namespace."""
+    from lorespark.plans.q_text import template_expansion
+
+    found = C.leaks(template_expansion(spark, d), "expanded")
+    return found.select("title", F.explode("leaked").alias("mark")).groupBy("mark").agg(F.count("*").alias("pages"), F.countDistinct("title").alias("titles"))
+
+
 @query("SELECT rec_no, size AS declared, CAST(length(content) AS BIGINT) AS made FROM sdv_full WHERE size <> length(content)")
 def size_audit(spark: SparkSession, d: str) -> DataFrame:
     return C.audit(table(spark, d, "sdv_full"), F.col("size"), F.length("content").cast("bigint")).select("rec_no", "declared", "made")
@@ -338,3 +384,44 @@ def deduplicate_queries(spark: SparkSession, d: str) -> DataFrame:
     from lorespark.plans.ask import distinct_queries
 
     return distinct_queries(table(spark, d, "events").select("user_id", "event_type"), ["user_id", "event_type"])
+
+
+# --- nested records -----------------------------------------------------------------------------
+
+
+@query("""SELECT p_brand, CAST(row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey) - 1 AS INT) AS pos, p_partkey AS entry_id, p_name AS entry_title FROM part
+QUALIFY p_partkey > 100 AND p_partkey < 900""")
+def map_entries_in_range(spark: SparkSession, d: str) -> DataFrame:
+    """A map of brand to the ids and titles of its parts, asked for every brand; ids within a range."""
+    part = table(spark, d, "part")
+    entry = F.struct(F.col("p_partkey").alias("id"), F.col("p_name").alias("title"))
+    listed = part.groupBy("p_brand").agg(F.map_from_arrays(F.array(F.col("p_brand")), F.array(F.sort_array(F.collect_list(entry)))).alias("by_name"))
+    return R.map_entries(listed, "p_brand", "by_name", F.col("p_brand"), 100, 900)
+
+
+@query("""SELECT DISTINCT n_name AS query, a.area, s_suppkey, s_name FROM supplier JOIN nation ON true, (SELECT unnest(['north', 'south', 'west']) AS area) a
+WHERE s_nationkey = n_nationkey AND (a.area <> 'south' OR s_suppkey % 2 = 0) AND (a.area <> 'west' OR s_suppkey % 3 = 0)""")
+def item_map_placements(spark: SparkSession, d: str) -> DataFrame:
+    """Suppliers as places of their nation's name, fanned out by area, without empty areas and ship variants."""
+    supplier, nation = table(spark, d, "supplier"), table(spark, d, "nation")
+    areas = F.filter(F.array(F.lit("north"), F.when(F.col("s_suppkey") % 2 == 0, "south").otherwise(""), F.when(F.col("s_suppkey") % 3 == 0, "west"), F.lit("north_shipoff")), lambda x: x.isNotNull())
+    places = supplier.join(R.small_side(nation), F.col("s_nationkey") == F.col("n_nationkey")).select("s_suppkey", "s_name", F.col("n_name").alias("place"), areas.alias("areas"))
+    values = nation.select(F.col("n_name").alias("query"), F.concat(F.lit(" "), "n_name").alias("value"))
+    return R.placements_by_area(values, places, "place", "areas", "_shipoff").select("query", "area", "s_suppkey", "s_name")
+
+
+@query("SELECT p_partkey, p_size % 2 = 0 AS in_area FROM part")
+def any_case_containment(spark: SparkSession, d: str) -> DataFrame:
+    areas = F.when(F.col("p_size") % 2 == 0, F.array(F.lower("p_brand"), F.lit("x"))).otherwise(F.array(F.col("p_type")))
+    return table(spark, d, "part").select("p_partkey", R.holds_any_case(areas, F.upper("p_brand")).alias("in_area"))
+
+
+@query("""SELECT l_orderkey, l_linenumber, 'first' AS section, 1 AS slot, l_partkey AS item, l_quantity AS pct FROM lineitem WHERE l_partkey <> 0
+UNION ALL SELECT l_orderkey, l_linenumber, 'first', 2, l_suppkey, l_discount FROM lineitem WHERE l_suppkey <> 0
+UNION ALL SELECT l_orderkey, l_linenumber, 'second', 1, l_suppkey, l_tax FROM lineitem WHERE l_suppkey <> 0 AND l_linenumber % 2 = 0""")
+def nested_unpivot(spark: SparkSession, d: str) -> DataFrame:
+    """Two struct columns with two slots each, the second struct null in odd rows."""
+    one = F.struct(F.col("l_partkey").alias("t1"), F.col("l_suppkey").alias("t2"), F.col("l_quantity").alias("p1"), F.col("l_discount").alias("p2"))
+    two = F.when(F.col("l_linenumber") % 2 == 0, F.struct(F.col("l_suppkey").alias("t1"), F.lit(0).cast("bigint").alias("t2"), F.col("l_tax").alias("p1"), F.lit(0.0).alias("p2")))
+    rows = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", one.alias("s1"), two.alias("s2"))
+    return R.unpivot_nested(rows, ["l_orderkey", "l_linenumber"], {"s1": "first", "s2": "second"}, {"item": ["t1", "t2"], "pct": ["p1", "p2"]})

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lorespark.functions.html_dom import PageRules
-from lorespark.operators import expansion, parsing
+from lorespark.operators import census, expansion, parsing
+from lorespark.operators import titlesearch as T
 from lorespark.sources import site
 from lorespark.session import table
 
@@ -28,42 +29,32 @@ def _dump(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "sdv_full")
 
 
-# The SQL of html_headings, link_edges_from_html and wikitext_table_cells knows plain records only; the queries named `_whole` take all.
-def _headings(pages: DataFrame) -> DataFrame:
-    nodes = parsing.html_nodes(pages, "rec_no", "content").where(F.col("tag").rlike("^h[1-6]$"))
-    return nodes.groupBy("rec_no", F.substring("tag", 2, 1).cast("int").alias("level")).agg(F.count("*").alias("n"))
-
-
-def _link_edges(pages: DataFrame) -> DataFrame:
-    links = parsing.html_links(pages, "rec_no", "content", "index.html", PageRules(internal_path="wiki/"))
-    return links.where("kind = 'link'").groupBy("rec_no", "target").agg(F.count("*").alias("n"))
-
-
-def _cell_counts(pages: DataFrame) -> DataFrame:
-    return parsing.wiki_cells(pages, "rec_no", "content").groupBy("rec_no").agg(F.count("*").alias("cells"))
-
-
-@query(r"""WITH h AS (SELECT rec_no, unnest(regexp_extract_all(content, '(?is)<h([1-6])\b[^>]*>.*?</h[1-6]\s*>', 1)) AS level FROM sdv_full WHERE NOT regexp_matches(content, '(?i)<!--|<pre|<nowiki|<source|<syntaxhighlight|<math|<!\[|<\?'))
+@query(r"""WITH t AS (SELECT rec_no, regexp_replace(content, '(?s)<!--.*?(-->|\z)|<!\[.*?>|<\?.*?>', ' ', 'g') AS c FROM sdv_full),
+h AS (SELECT rec_no, unnest(regexp_extract_all(c, '(?i)<h([1-6])\b[^>]*>', 1)) AS level FROM t)
 SELECT rec_no, CAST(level AS INT) AS level, count(*) AS n FROM h GROUP BY ALL""")
 def html_headings(spark: SparkSession, d: str) -> DataFrame:
-    return _headings(_dump(spark, d).where(~F.col("content").rlike(r"(?i)<!--|<pre|<nowiki|<source|<syntaxhighlight|<math|<!\[|<\?")))
+    nodes = parsing.html_nodes(_dump(spark, d), "rec_no", "content").where(F.col("tag").rlike("^h[1-6]$"))
+    return nodes.groupBy("rec_no", F.substring("tag", 2, 1).cast("int").alias("level")).agg(F.count("*").alias("n"))
 
 
-@query()
-def html_headings_whole(spark: SparkSession, d: str) -> DataFrame:
-    return _headings(_dump(spark, d))
+_SQL_HREFS = r"""WITH t AS (SELECT rec_no, regexp_replace(content, '(?s)<!--.*?(-->|\z)', ' ', 'g') AS c FROM sdv_full),
+h AS (SELECT rec_no, substr(unnest(regexp_extract_all(c, '(?i)<a\s[^>]*?href=("/wiki/[^"#]*|''/wiki/[^''#]*)', 1)), 3) AS target FROM t)
+"""
 
 
-@query(r"""WITH h AS (SELECT rec_no, unnest(regexp_extract_all(content, '(?i)href="(/wiki/[^"#]*)', 1)) AS target FROM sdv_full WHERE NOT regexp_matches(content, '(?i)<!--|<source|<syntaxhighlight'))
-SELECT rec_no, target, count(*) AS n FROM (SELECT rec_no, substr(target, 2) AS target FROM h) GROUP BY ALL""")
+@query(_SQL_HREFS + "SELECT rec_no, target, count(*) AS n FROM h GROUP BY ALL")
 def link_edges_from_html(spark: SparkSession, d: str) -> DataFrame:
-    plain = _dump(spark, d).where(~F.col("content").rlike("(?i)<!--|<source|<syntaxhighlight")).withColumn("content", F.regexp_replace("content", "(?i)<a href='[^']*'>", "<a>"))
-    return _link_edges(plain)
+    links = parsing.html_links(_dump(spark, d), "rec_no", "content", "index.html", PageRules(internal_path="wiki/"))
+    return links.where("kind = 'link'").groupBy("rec_no", "target").agg(F.count("*").alias("n"))
 
 
-@query()
-def link_edges_from_html_whole(spark: SparkSession, d: str) -> DataFrame:
-    return _link_edges(_dump(spark, d))
+@query(_SQL_HREFS + r""", k AS (SELECT trim(regexp_replace(replace(title, chr(8206), ''), '[_\s]+', ' ', 'g')) AS name, title, path FROM manifest WHERE title <> '' AND path <> ''),
+c AS (SELECT name, min(title) AS title FROM k GROUP BY name)
+SELECT DISTINCT rec_no, target, c.title AS resolved FROM (SELECT rec_no, target, trim(regexp_replace(url_decode(substr(target, 6)), '[_\s]+', ' ', 'g')) AS name FROM h) LEFT JOIN c USING (name)""")
+def html_links_to_catalogue(spark: SparkSession, d: str) -> DataFrame:
+    """The links of HTML parts with the catalogue's title of the page they lead to, null where it has none."""
+    links = parsing.html_links(_dump(spark, d), "rec_no", "content", "index.html", PageRules(internal_path="wiki/")).where("kind = 'link'")
+    return T.href_titles(links.select("rec_no", "target").distinct(), T.entries(table(spark, d, "manifest")), "wiki/")
 
 
 @query()
@@ -81,16 +72,10 @@ def wikitext_node_rows(spark: SparkSession, d: str) -> DataFrame:
     return parsing.wiki_nodes(_dump(spark, d), "rec_no", "content")
 
 
-@query(r"""WITH t AS (SELECT rec_no, unnest(regexp_extract_all(content, '(?s)\{\|.*?\n\|\}', 0)) AS t FROM sdv_full WHERE NOT contains(content, '<!--') AND NOT contains(content, '<nowiki'))
+@query(r"""WITH t AS (SELECT rec_no, unnest(regexp_extract_all(regexp_replace(regexp_replace(content, '(?s)<!--.*?(-->|\z)', '', 'g'), '(?s)<nowiki>.*?</nowiki>', 'x', 'g'), '(?s)\{\|.*?\n\|\}', 0)) AS t FROM sdv_full)
 SELECT rec_no, CAST(sum(len(regexp_extract_all(t, '(?m)^(?:\| |! )', 0)) + 2 * len(regexp_extract_all(t, '(?m)^! .* !! .* !! ', 0))) AS BIGINT) AS cells FROM t GROUP BY rec_no""")
 def wikitext_table_cells(spark: SparkSession, d: str) -> DataFrame:
-    plain = _dump(spark, d).where(~F.col("content").contains("<!--") & ~F.col("content").contains("<nowiki"))
-    return _cell_counts(plain)
-
-
-@query()
-def wikitext_table_cells_whole(spark: SparkSession, d: str) -> DataFrame:
-    return _cell_counts(_dump(spark, d))
+    return parsing.wiki_cells(_dump(spark, d), "rec_no", "content").groupBy("rec_no").agg(F.count("*").alias("cells"))
 
 
 @query()
@@ -111,6 +96,29 @@ def module_data_tables(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(r"""SELECT DISTINCT rec_no, kind, name FROM (SELECT rec_no, 'require' AS kind, unnest(regexp_extract_all(content, 'require\s*\(?\s*["'']([^"'']+)["'']', 1)) AS name FROM sdv_full WHERE ns = 828
-UNION ALL SELECT rec_no, 'load_data', unnest(regexp_extract_all(content, 'loadData\s*\(?\s*["'']([^"'']+)["'']', 1)) FROM sdv_full WHERE ns = 828)""")
+UNION ALL SELECT rec_no, 'load_data', unnest(regexp_extract_all(content, 'loadData\s*\(?\s*["'']([^"'']+)["'']', 1)) FROM sdv_full WHERE ns = 828
+UNION ALL SELECT rec_no, 'json_page', unnest(regexp_extract_all(content, '["''](JSON:[^"'']+)["'']', 1)) FROM sdv_full WHERE ns = 828
+UNION ALL SELECT rec_no, 'sql_table', unnest(regexp_extract_all(content, '(?i)\bfrom\s+([A-Za-z_]\w*)', 1)) FROM sdv_full WHERE ns = 828)""")
 def module_harvest(spark: SparkSession, d: str) -> DataFrame:
-    return site.harvest(_dump(spark, d).where("ns = 828"), "rec_no", "content").where("kind IN ('require', 'load_data')")
+    return site.harvest(_dump(spark, d).where("ns = 828"), "rec_no", "content")
+
+
+_SQL_INVOKES = r"""
+WITH c AS (SELECT rec_no AS page, unnest(regexp_extract_all(content, '\{\{\s*#invoke\s*:\s*([^|{}]+\|[^|{}]+?)\s*(?:\||\}\})', 1)) AS c FROM sdv_full),
+i AS (SELECT DISTINCT page, trim(split_part(c, '|', 1)) AS module, trim(split_part(c, '|', 2)) AS fn FROM c),
+m AS (SELECT DISTINCT trim(substr(title, strpos(title, ':') + 1)) AS module, content FROM sdv_full WHERE ns = 828 AND title IS NOT NULL),
+t AS (SELECT DISTINCT lower(module) AS k, unnest(regexp_extract_all(content, '(?:require|loadData)\s*\(?\s*["'']([^"'']+)["'']', 1)) AS table_name FROM m),
+s AS (SELECT DISTINCT title AS table_name FROM manifest WHERE title <> '' AND path <> ''),
+o AS (SELECT k, count(*) AS tables, count(*) FILTER (WHERE s.table_name IS NULL) AS gap FROM t LEFT JOIN s USING (table_name) GROUP BY k),
+h AS (SELECT lower(module) AS k, fn, count(DISTINCT page) AS pages, min(page) AS first_page, min(module) AS called FROM i WHERE module <> '' AND fn <> '' GROUP BY ALL),
+w AS (SELECT lower(module) AS k, min(module) AS known FROM m GROUP BY ALL)
+"""
+
+
+@query(_SQL_INVOKES + "SELECT coalesce(known, called) || '|' || fn AS handler, pages, first_page, coalesce(tables, 0) AS tables, coalesce(gap, 0) AS gap, CASE WHEN known IS NULL THEN 'unknown' WHEN coalesce(gap, 0) > 0 THEN 'snapshot' ELSE 'local' END AS verdict FROM h LEFT JOIN w USING (k) LEFT JOIN o USING (k)")
+def handler_coverage(spark: SparkSession, d: str) -> DataFrame:
+    """Module functions that pages call, the data their modules read, and what of it the catalogue lacks."""
+    dump = _dump(spark, d)
+    modules = dump.where("ns = 828 AND title IS NOT NULL").select(F.trim(F.substr("title", F.instr("title", ":") + 1)).alias("module"), "content")
+    read = site.harvest(modules, "module", "content").where("kind IN ('require', 'load_data')").select("module", F.col("name").alias("table_name"))
+    return census.handler_coverage(census.page_invokes(dump, "rec_no", "content"), modules, read, T.entries(table(spark, d, "manifest")).select(F.col("title").alias("table_name")))

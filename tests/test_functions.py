@@ -144,7 +144,8 @@ def test_wikitext():
     assert W.link_row("File:A.png|thumb|120x40px|left|link=B|cap")["width"] == 120
     assert [W.link_row(x)["kind"] for x in ("Category:A", "p::v", "fr:B", "A#b|c", "文件:x.png")] == ["category", "property", "interwiki", "internal", "file"]
     assert W.variants("a-{zh-tw:x;zh-cn:y}-b") == "ayb"
-    assert W.map_rows("@@MAP|a.png|T|10|20|1,2;3,4@@")["markers"] == [{"left": 1.0, "top": 2.0}, {"left": 3.0, "top": 4.0}]
+    assert W.map_rows(" @@WIKIMAP| a.png |T|10|20.5px|1,2;bad;3,4@@")["markers"] == [{"left": 1.0, "top": 2.0}, {"left": 3.0, "top": 4.0}]
+    assert all(W.map_rows(x) is None for x in ("@@MAP|a.png|T|10|20|1,2@@", "@@WIKIMAP|a.png|T|10|0|1,2@@", "@@WIKIMAP||T|10|20|1,2@@", "@@WIKIMAP|a.png|T|10|20|@@", "plain"))
 
 
 @settings(max_examples=150, deadline=None)

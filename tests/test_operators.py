@@ -174,6 +174,6 @@ def test_whole_dump_queries_keep_hard_records(spark, tmp_path):
     ]
     spark.createDataFrame(pages, "rec_no int, content string").write.parquet(f"{tmp_path}/sdv_full.parquet")
     rows = lambda name: sorted(tuple(r) for r in QUERIES[name](spark, str(tmp_path)).collect())
-    assert rows("html_headings_whole") == [(1, 2, 1), (1, 3, 1), (2, 2, 1), (3, 1, 1)]
-    assert rows("link_edges_from_html_whole") == [(1, "wiki/A", 2), (2, "wiki/B", 1)]
-    assert rows("wikitext_table_cells_whole") == [(1, 3), (2, 1)]
+    assert rows("html_headings") == [(1, 2, 1), (1, 3, 1), (2, 2, 1), (3, 1, 1)]
+    assert rows("link_edges_from_html") == [(1, "wiki/A", 2), (2, "wiki/B", 1)]
+    assert rows("wikitext_table_cells") == [(1, 3), (2, 1)]
