@@ -28,11 +28,11 @@ MARKS = {"-": HIDDEN, "~": CHROME, "+": CONTENT}
 N_KINDS = len(dt.KINDS)
 LENGTHS = np.array([8, 24, 64, 160, 512])
 #: What navigation and notices say, and how containers of them are named.
-_NOTICE = re.compile(
-    r"jump to|navigation|log in|sign in|subscribe|newsletter|cookie|privacy|copyright|all rights reserved|terms of use|retrieved from|edit this|view history"
-    r"|back to top|share on|follow us|contact us|latest posts|table of contents|\A\s*contents\s*\Z|help by|\A\W*(?:home|help|menu|search)\W*\Z|跳转到|导航|版权|保留所有权利|登录|订阅",
-    re.I,
-)
+_NOTICES = (
+    "jump to", "navigation", "log in", "sign in", "subscribe", "newsletter", "cookie", "privacy", "copyright", "all rights reserved", "terms of use", "retrieved from", "edit this", "view history",
+    "back to top", "share on", "follow us", "contact us", "latest posts", "table of contents", "help by", "跳转到", "导航", "版权", "保留所有权利", "登录", "订阅",
+)
+_ALONE = {"contents", "home", "help", "menu", "search"}
 _CHROME_BOX = re.compile(r"\A(?:nav|header|footer|aside|form)\b|nav|menu|toc\b|sidebar|footer|breadcrumb|cookie|banner|share|social|metadata|noprint|edit|notice|login|advert", re.I)
 _LINKED = re.compile(r"\[\[[^\[\]]*\]\]|<a\b[^>]*>.*?</a\s*>|\[[^\[\]]*\]\([^()]*\)", re.S | re.I)
 _PROSE = re.compile(r"[^\W\d_]{2,}(?:\W+[^\W\d_]+){3,}|[一-鿿]{6,}")
@@ -57,7 +57,9 @@ def cues(kind: int, raw: str) -> tuple[bool, ...]:
         if linked:
             left = len(_LINKED.sub("", raw).strip(" \t\r\n*.,;|·"))
             mostly, only = 2 * linked > len(raw), left == 0
-    return mostly, only, bool(_NOTICE.search(raw)), False, bool(_PROSE.search(raw))
+    low = raw.lower()
+    notice = any(n in low for n in _NOTICES) or len(low) < 24 and low.strip(" \t\r\n[]*|·.") in _ALONE
+    return mostly, only, notice, False, bool(_PROSE.search(raw))
 
 
 class Forest:
