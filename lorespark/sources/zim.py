@@ -1,11 +1,13 @@
-"""ZIM archives as tables. The layout of the format is public; only stored and zstd clusters are read.
+"""ZIM archives as tables. The layout of the format is public; stored, LZMA and zstd clusters are read.
 
 Nothing passes through the driver but the header: directory entries and clusters are read by
-ranges in the tasks, from a path that all executors mount, and joined by (cluster, blob).
+ranges in the tasks, from a URI that all executors reach, and joined by (cluster, blob).
 """
 
 from __future__ import annotations
 
+import lzma
+import os
 import struct
 from collections.abc import Iterator
 
@@ -14,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lorespark.session import ship
+from lorespark.sources.storage import open_input, shared_uri
 
 # Fixed values of the format.
 MAGIC = 72173914
@@ -22,7 +25,8 @@ REDIRECT, LINK_TARGET, DELETED = 0xFFFF, 0xFFFE, 0xFFFD
 
 
 def header(path: str) -> dict:
-    with open(path, "rb") as f:
+    path = path if "://" in path else f"file://{os.path.abspath(path)}"
+    with open_input(path) as f:
         v = HEADER.unpack(f.read(HEADER.size))
         if v[0] != MAGIC:
             raise ValueError(f"{path} is no ZIM archive")
@@ -56,10 +60,11 @@ def _entry(f, at: int, mimes: list[str]) -> tuple:
 def entries(spark: SparkSession, path: str, partitions: int = 64) -> DataFrame:
     """(entry, ns, url, mime, cluster, blob, redirect): the directory of an archive."""
     ship(spark)
+    path = shared_uri(spark, path)
     h = header(path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        with open(path, "rb") as f:
+        with open_input(path) as f:
             for batch in batches:
                 ids = batch.column(0).to_pylist()
                 places = []
@@ -77,12 +82,13 @@ def entries(spark: SparkSession, path: str, partitions: int = 64) -> DataFrame:
 def blobs(spark: SparkSession, path: str, partitions: int = 64) -> DataFrame:
     """(cluster, blob, content) of every blob, a cluster at a time."""
     ship(spark)
+    path = shared_uri(spark, path)
     h = header(path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
 
-        with open(path, "rb") as f:
+        with open_input(path) as f:
             for batch in batches:
                 for c in batch.column(0).to_pylist():
                     f.seek(h["cluster_at"] + 8 * c)
@@ -92,9 +98,9 @@ def blobs(spark: SparkSession, path: str, partitions: int = 64) -> DataFrame:
                     f.seek(start)
                     raw = f.read(end - start)
                     kind, wide = raw[0] & 15, bool(raw[0] & 16)
-                    if kind not in (0, 1, 5):
+                    if kind not in (0, 1, 4, 5):
                         raise ValueError(f"cluster {c} has compression {kind}, which is not read")
-                    data = zstandard.ZstdDecompressor().decompressobj().decompress(raw[1:]) if kind == 5 else raw[1:]
+                    data = zstandard.ZstdDecompressor().decompressobj().decompress(raw[1:]) if kind == 5 else lzma.decompress(raw[1:]) if kind == 4 else raw[1:]
                     size, code = (8, "Q") if wide else (4, "I")
                     n = struct.unpack(f"<{code}", data[:size])[0] // size
                     at = struct.unpack(f"<{n}{code}", data[: n * size])

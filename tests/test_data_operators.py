@@ -177,7 +177,12 @@ def test_site_round_trip(spark, tmp_path):
     entries = site.zip_entries(spark, str(tmp_path / "zips"))
     assert {(r["name"], bytes(r["content"])) for r in entries.collect()} == {("a.wiki", b"x"), ("d/b.wiki", b"")}
     sinks.extract_archive(entries, str(tmp_path / "un"))
-    assert (tmp_path / "un" / "a.wiki").read_text() == "x"
+    assert (tmp_path / "un" / "a.wiki").read_text() == "x" and not list((tmp_path / "un").rglob("*.part"))
+    bad = spark.createDataFrame([("../out.wiki", b"x")], "name string, content binary")
+    with pytest.raises(Exception, match="outside"):
+        sinks.extract_archive(bad, str(tmp_path / "un"))
+    sinks.extract_archive(entries, (tmp_path / "uri").as_uri())
+    assert (tmp_path / "uri" / "a.wiki").read_text() == "x"
 
 
 def test_data_pages(spark, tmp_path):
@@ -205,7 +210,10 @@ def test_zim(spark, tmp_path):
         return bytes([kind]) + (zstandard.ZstdCompressor().compress(data) if kind == 5 else data)
 
     mimes = b"text/html\0image/png\0\0"
-    clusters = [cluster([b"<p>a</p>", b"<p>b</p>"], 5), cluster([b"PNG"], 1)]
+    import lzma
+
+    packed = cluster([b"PNG"], 1)
+    clusters = [cluster([b"<p>a</p>", b"<p>b</p>"], 5), bytes([4]) + lzma.compress(packed[1:])]
     dirents = [struct.pack("<HBcIII", m, 0, b"C", 0, c, b) + u + b"\0\0" for m, c, b, u in ((0, 0, 0, b"a"), (0, 0, 1, b"b"), (1, 1, 0, b"i.png"))] + [struct.pack("<HBcII", 0xFFFF, 0, b"C", 0, 0) + b"r\0\0"]
     mime_at = zim.HEADER.size
     at = mime_at + len(mimes)
