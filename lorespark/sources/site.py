@@ -36,7 +36,7 @@ def _relative(path: Column, root: str) -> Column:
 
 
 def texts(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame:
-    """(path relative to the folder, body) of UTF-8 files, each whole."""
+    """(path relative to the folder, body) of UTF-8 files, each whole. Empty files give no row, as in all file sources of Spark."""
     df = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).text(root, wholetext=True)
     return df.select(_relative(F.col("_metadata.file_path"), root).alias("path"), F.col("value").alias("body"))
 
@@ -55,10 +55,10 @@ def manifest_from_files(spark: SparkSession, root: str) -> DataFrame:
 
 
 def pages(spark: SparkSession, site_dir: str) -> DataFrame:
-    """(title, path, format, body, ord): catalogue joined with the page files; a missing file has a null body."""
+    """(title, path, format, body, ord): catalogue joined with the page files; a missing file has a null body, one listed with 0 bytes an empty one."""
     root = f"{site_dir.rstrip('/')}/pages"
     listed = manifest(spark, f"{site_dir.rstrip('/')}/manifest.json")
-    joined = listed.join(texts(spark, root), "path", "left")
+    joined = listed.join(texts(spark, root), "path", "left").withColumn("body", F.coalesce("body", F.when(F.col("bytes") == 0, F.lit(""))))
     fmt = F.when(F.lower(F.ltrim(F.left(F.col("body"), F.lit(64)))).rlike("^<(!doctype|html)"), "html").otherwise("wiki")
     return joined.select("title", "path", fmt.alias("format"), "body", "ord")
 
