@@ -226,11 +226,32 @@ def marker_percent(pct: Column, slack: float = 5.0) -> Column:
     return F.when(pct.between(-slack, 100 + slack), F.greatest(F.lit(0.0), F.least(F.lit(100.0), pct)))
 
 
-def lighter_colour(colour: Column, least_light: float = 0.6) -> Column:
-    """A `#rrggbb` colour for dark grounds: mixed with white until its lightness is `least_light`, so
-    that hue stays; lighter colours and other texts come back as they are."""
-    part = [F.conv(F.substring(colour, i, 2), 16, 10).cast("double") / 255 for i in (2, 4, 6)]
-    light = (F.greatest(*part) + F.least(*part)) / 2
-    share = F.when(light < least_light, (F.lit(least_light) - light) / (F.lit(1.0) - light)).otherwise(F.lit(0.0))
-    mixed = [F.lpad(F.lower(F.hex(F.floor((p + (F.lit(1.0) - p) * share) * 255 + 0.5).cast("bigint"))), 2, "0") for p in part]
-    return F.when(colour.rlike("^#[0-9a-fA-F]{6}$"), F.concat(F.lit("#"), *mixed)).otherwise(colour)
+def _recoloured(colour: Column, applies, light_of, saturation_of) -> Column:
+    """A hex colour (3, 4, 6 or 8 digits) with another lightness and saturation and the same hue.
+
+    A channel is the darkest one plus its share of the span between darkest and lightest; the shares
+    are the hue and stay. Alpha stays. Other texts come back as they are.
+    """
+    digits = F.substr(colour, F.lit(2))
+    short = F.regexp_replace(digits, "(.)", "$1$1")
+    full = F.when(F.length(digits) <= 4, short).otherwise(digits)
+    part = [F.conv(F.substring(full, i, 2), 16, 10).cast("double") / 255 for i in (1, 3, 5)]
+    most, least = F.greatest(*part), F.least(*part)
+    light, span = (most + least) / 2, most - least
+    saturation = F.when(span == 0, F.lit(0.0)).otherwise(span / (1 - F.abs(2 * light - 1)))
+    to = light_of(light)
+    to_span = (1 - F.abs(2 * to - 1)) * saturation_of(saturation)
+    share = [F.when(span == 0, F.lit(0.0)).otherwise((x - least) / span) for x in part]
+    new = [F.lpad(F.lower(F.hex(F.greatest(F.lit(0.0), F.least(F.lit(255.0), F.floor((to - to_span / 2 + to_span * x) * 255 + 0.5))).cast("bigint"))), 2, "0") for x in share]
+    is_hex = colour.rlike("^#([0-9a-fA-F]{3,4}|[0-9a-fA-F]{6}|[0-9a-fA-F]{8})$")
+    return F.when(is_hex & applies(light), F.concat(F.lit("#"), *new, F.substr(full, F.lit(7)))).otherwise(colour)
+
+
+def dark_text_colour(colour: Column) -> Column:
+    """A text colour for dark grounds: dark ones are made lighter and no more than 0.8 saturated."""
+    return _recoloured(colour, lambda l: l < 0.5, lambda l: 0.53 + (0.5 - l) * 0.28, lambda s: F.least(s, F.lit(0.8)))
+
+
+def dark_ground_colour(colour: Column) -> Column:
+    """A background for dark pages: light ones are made dark and less saturated."""
+    return _recoloured(colour, lambda l: l >= 0.5, lambda l: 0.2 + (l - 0.5) * 0.18, lambda s: s * 0.55)

@@ -308,7 +308,7 @@ class _Run:
             a = max(0, len(s) + int(start)) if int(start) < 0 else int(start)
             if not re.fullmatch(r"[+-]?\d+", size):
                 return s[a:]
-            b = a + int(size) if int(size) > 0 else len(s) + int(size)
+            b = a + int(size) if int(size) >= 0 else len(s) + int(size)
             return s[a:b] if b > a else ""
         if name == "replace":
             return ex(0).replace(ex(1), ex(2)) if ex(1) else ex(0)

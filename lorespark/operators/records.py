@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 
 from lorespark.functions.strings import bit, marker_percent, percent_of_span
 
-#: Dimension tables up to this many bytes by the optimizer's own estimate are broadcast.
-BROADCAST_BYTES = 32 * 1024 * 1024
+#: Dimension tables up to this many bytes by the optimizer's own estimate are broadcast; files may grow tenfold in memory.
+BROADCAST_BYTES = 8 * 1024 * 1024
 
 
 def small_side(dim: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:

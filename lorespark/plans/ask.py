@@ -10,7 +10,7 @@ gives the stricter older reading: one candidate source by precedence
 from __future__ import annotations
 
 import re
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -21,6 +21,8 @@ from lorespark.operators.props import CATEGORY
 
 _CONDITION = re.compile(r"\[\[(.+?)\]\]", re.S)
 FORMATS = {"table", "list", "ul", "template", "count", ""}
+#: Rows that a query without a limit may bring into one page.
+MAX_TEXT_ROWS = 200_000
 DEFAULT_LABEL = "页面"
 
 
@@ -62,17 +64,25 @@ class AskQuery:
         return manifest.where("title <> ''").groupBy("title").agg(F.min("ord").alias("ord"))
 
     def matching(self, manifest: DataFrame, props: DataFrame) -> DataFrame:
-        """(title, ord) of the pages that meet all conditions: one semi-join per filter."""
+        """(title, ord) of the pages that meet all conditions: the properties are read once for all filters."""
         rows = self.candidates(manifest)
+        tests = []
         for prop, value in self.filters:
-            of = props.where(F.col("prop") == canonical(prop))
-            if value != "+" or self.compat:
-                of = of.where(F.col("value") == value)
-            rows = rows.join(of.select("title"), "title", "left_semi")
+            of = F.col("prop") == canonical(prop)
+            tests.append(of & (F.col("value") == value) if value != "+" or self.compat else of)
         if not self.compat:
-            for name in self.categories:
-                rows = rows.join(props.where((F.col("prop") == CATEGORY) & (F.col("value") == name)).select("title"), "title", "left_semi")
-        return rows
+            tests += [(F.col("prop") == CATEGORY) & (F.col("value") == name) for name in self.categories]
+        if not tests:
+            return rows
+        either = tests[0]
+        for t in tests[1:]:
+            either = either | t
+        met = props.where(either)
+        if len(tests) > 1:
+            met = met.groupBy("title").agg(*[F.max(t).alias(f"t{i}") for i, t in enumerate(tests)])
+            for i in range(len(tests)):
+                met = met.where(f"t{i}")
+        return rows.join(met.select("title"), "title", "left_semi")
 
     def rows(self, manifest: DataFrame, props: DataFrame, rank: bool = False) -> DataFrame:
         """(title, then an array of values per display column, then `rank_no` if asked), sorted and cut.
@@ -107,10 +117,11 @@ class AskQuery:
 
     def text(self, manifest: DataFrame, props: DataFrame) -> DataFrame:
         """One row `wikitext`: a table, list or template calls; '' without results. Rows come together
-        in one task, as a page must; give a limit for large results."""
+        in one task, as a page must: more than MAX_TEXT_ROWS without a limit are an error."""
         if self.fmt not in FORMATS:
             raise ValueError(f"unknown format {self.fmt!r}")
-        rows = self.rows(manifest, props, rank=True)
+        bounded = self if self.limit > 0 else replace(self, limit=MAX_TEXT_ROWS + 1)
+        rows = bounded.rows(manifest, props, rank=True)
         labels = [c for c in rows.columns if c not in ("title", "rank_no")]
         link = F.concat(F.lit("[["), F.col("title"), F.lit("|"), without_namespace(F.col("title")), F.lit("]]"))
         cells = [F.array_join(F.col(f"`{c}`"), "<br>") for c in labels]
@@ -128,7 +139,8 @@ class AskQuery:
             names = "\n! ".join([self.main_label or DEFAULT_LABEL, *labels])
             head, tail = '{| class="wikitable"\n' + (f"! {names}\n" if self.headers else ""), "\n|}"
         joined = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("rank_no", line.alias("line")))), lambda x: x["line"]), "\n")
-        lines = rows.agg(joined.alias("body"))
+        too_many = F.when((F.count("*") > MAX_TEXT_ROWS) & F.lit(self.limit <= 0), F.raise_error(F.lit(f"more than {MAX_TEXT_ROWS} rows for one page; give a limit")))
+        lines = rows.agg(F.coalesce(too_many.cast("string"), joined).alias("body"))
         return lines.select(F.when(F.col("body") == "", "").otherwise(F.concat(F.lit(head), F.col("body"), F.lit(tail))).alias("wikitext"))
 
 

@@ -104,10 +104,22 @@ def map_lines(spark: SparkSession, d: str) -> DataFrame:
     return rows.select("p_partkey", F.col("title").alias("image_title"), F.inline("markers")).withColumnsRenamed({"left": "left_pct", "top": "top_pct"})
 
 
-@query("""SELECT o_orderkey, CASE WHEN o_totalprice < 100000 THEN '#999999' WHEN o_totalprice < 200000 THEN '#ffffff' ELSE 'plain' END AS shown FROM orders""")
+_SQL_CHANNEL = "lpad(to_hex(CAST(greatest(0, least(255, floor(({0} - {1} / 2 + {1} * (CASE WHEN d = 0 THEN 0 ELSE (x[{2}] - lo) / d END)) * 255 + 0.5))) AS BIGINT)), 2, '0')"
+
+
+def _sql_colour(to: str, span: str) -> str:
+    return "'#' || lower(" + " || ".join(_SQL_CHANNEL.format(to, span, i) for i in (1, 2, 3)) + ")"
+
+
+@query(f"""WITH c AS (SELECT o_orderkey, (o_orderkey * 7919 + 12345) % 16777216 AS n FROM orders),
+p AS (SELECT *, [n // 65536 / 255.0::DOUBLE, n // 256 % 256 / 255.0::DOUBLE, n % 256 / 255.0::DOUBLE] AS x, '#' || lower(lpad(to_hex(n), 6, '0')) AS colour FROM c),
+l AS (SELECT *, list_min(x) AS lo, list_max(x) - list_min(x) AS d, (list_max(x) + list_min(x)) / 2 AS l FROM p),
+s AS (SELECT *, CASE WHEN d = 0 THEN 0 ELSE d / (1 - abs(2 * l - 1)) END AS s, 0.53::DOUBLE + (0.5 - l) * 0.28::DOUBLE AS tl, 0.2::DOUBLE + (l - 0.5) * 0.18::DOUBLE AS gl FROM l),
+w AS (SELECT *, (1 - abs(2 * tl - 1)) * least(s, 0.8::DOUBLE) AS ts, (1 - abs(2 * gl - 1)) * (s * 0.55::DOUBLE) AS gs FROM s)
+SELECT o_orderkey, CASE WHEN l < 0.5 THEN {_sql_colour("tl", "ts")} ELSE colour END AS shown, CASE WHEN l >= 0.5 THEN {_sql_colour("gl", "gs")} ELSE colour END AS ground FROM w""")
 def dark_mode_colours(spark: SparkSession, d: str) -> DataFrame:
-    colour = F.when(F.col("o_totalprice") < 100000, "#000000").when(F.col("o_totalprice") < 200000, "#ffffff").otherwise("plain")
-    return table(spark, d, "orders").select("o_orderkey", S.lighter_colour(colour).alias("shown"))
+    colour = F.concat(F.lit("#"), F.lower(F.lpad(F.hex((F.col("o_orderkey") * 7919 + 12345) % 16777216), 6, "0")))
+    return table(spark, d, "orders").select("o_orderkey", S.dark_text_colour(colour).alias("shown"), S.dark_ground_colour(colour).alias("ground"))
 
 
 @query("""SELECT o_orderkey, split_part(o_orderpriority, '-', 1) AS first, split_part(o_orderpriority, '-', 2) AS second FROM orders UNION ALL SELECT o_orderkey, o_orderstatus, '' FROM orders""")

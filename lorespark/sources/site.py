@@ -43,9 +43,8 @@ def texts(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame:
 
 def manifest(spark: SparkSession, path: str) -> DataFrame:
     """The catalogue of a site with `ord`, the place in the file; entries without title or path are left out."""
-    text = spark.read.text(path, wholetext=True)
-    rows = text.select(F.posexplode(F.from_json("value", f"array<struct<{', '.join(p.replace(' ', ':', 1) for p in MANIFEST.split(', '))}>>")).alias("ord", "e"))
-    return rows.select("e.*", F.col("ord").cast("bigint")).where("title <> '' AND path <> ''")
+    entries = spark.read.schema(MANIFEST).option("multiLine", "true").json(path)  # entry by entry; one file is one partition
+    return entries.withColumn("ord", F.monotonically_increasing_id()).where("title <> '' AND path <> ''")
 
 
 def manifest_from_files(spark: SparkSession, root: str) -> DataFrame:

@@ -167,5 +167,40 @@ def test_html_inside_wikitext():
 
 
 def test_colours(spark):
-    rows = spark.createDataFrame([("#000000",), ("#ffffff",), ("red",), (None,)], "c string").select(S.lighter_colour(F.col("c")).alias("d")).collect()
-    assert [r["d"] for r in rows] == ["#999999", "#ffffff", "red", None]
+    """Against the standard library's conversion by hue, for all lengths of hex colours."""
+    import colorsys
+    import random
+
+    def brute(c, applies, light, saturation):
+        digits = c[1:] if len(c) > 5 else "".join(x * 2 for x in c[1:])
+        h, l, s = colorsys.rgb_to_hls(*(int(digits[i : i + 2], 16) / 255 for i in (0, 2, 4)))
+        if not applies(l):
+            return c
+        rgb = colorsys.hls_to_rgb(h, light(l), saturation(s))
+        return "#" + "".join(f"{max(0, min(255, int(x * 255 + 0.5))):02x}" for x in rgb) + digits[6:]
+
+    rng = random.Random(6)
+    colours = ["#000", "#fff", "#000000", "#ffffff", "#808080", "#12345678", "#abcd", *(f"#{rng.randrange(1 << 24):06x}" for _ in range(300))]
+    rows = spark.createDataFrame([(c,) for c in [*colours, "red", "#12345", None]], "c string").select("c", S.dark_text_colour(F.col("c")).alias("t"), S.dark_ground_colour(F.col("c")).alias("g")).collect()
+    near = lambda x, y: x == y or len(x) == len(y) and all(abs(int(x[i : i + 2], 16) - int(y[i : i + 2], 16)) <= 1 for i in range(1, len(x), 2))
+    for r in rows:
+        if r["c"] in colours:
+            assert near(r["t"], brute(r["c"], lambda l: l < 0.5, lambda l: 0.53 + (0.5 - l) * 0.28, lambda s: min(s, 0.8)))
+            assert near(r["g"], brute(r["c"], lambda l: l >= 0.5, lambda l: 0.2 + (l - 0.5) * 0.18, lambda s: s * 0.55))
+        else:
+            assert r["t"] == r["g"] == r["c"]
+
+
+def test_positions_and_parts_of_texts(spark):
+    from lorespark.functions.template import Expander
+
+    expand = lambda t: Expander({}).expand(t, "P")[0]
+    assert [expand(t) for t in ("{{#sub:abcdef|1|0}}", "{{#sub:abcdef|1}}", "{{#pos:abcabc|a|-1}}", "{{#pos:abc||1}}", "{{ns:文件}}", "{{ns:12}}", "{{ns:User talk}}", "{{ns:nothing}}")] == ["", "bcdef", "0", "1", "File", "Help", "User talk", "nothing"]
+    row = spark.createDataFrame([("abcabc",)], "s string").select(S.position(F.col("s"), "a", -1).alias("a"), S.position(F.col("s"), "", 2).alias("b"), S.position(F.col("s"), "", 99).alias("c")).first()
+    assert tuple(row) == ("0", "2", "6")
+
+
+def test_nesting_has_no_bound():
+    deep = "<div>\n" * 60 + "* in the middle\n" + "</div>\n" * 60
+    got = W.nodes(deep)
+    assert any(n["kind"] == "item" and n["text"] == "in the middle" and n["depth"] >= 60 for n in got)
