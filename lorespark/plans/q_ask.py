@@ -266,6 +266,15 @@ def footnote_numbering(spark: SparkSession, d: str) -> DataFrame:
     return P.number_footnotes(refs).withColumn("seq", F.col("seq").cast("bigint"))
 
 
-@query()
+# Regions in which nothing is markup, as for the references of pages.
+_OPAQUE = r"(?ism)<!--.*?(?:-->|\z)|^[ \t]*%[^\n]*|<nowiki>.*?</nowiki\s*>|<pre\b[^>]*>.*?</pre\s*>|<source\b[^>]*>.*?</source\s*>|<syntaxhighlight\b[^>]*>.*?</syntaxhighlight\s*>|^[ \t]*```[^\n]*\n.*?^[ \t]*```[ \t]*\r?$|^[ \t]*~~~[^\n]*\n.*?^[ \t]*~~~[ \t]*\r?$|\\begin\{verbatim\}.*?\\end\{verbatim\}|\\begin\{lstlisting\}.*?\\end\{lstlisting\}"
+
+
+@query(rf"""WITH t AS (SELECT title, regexp_replace(content, '{_OPAQUE}', chr(10), 'g') AS c FROM sdv_full WHERE title IS NOT NULL),
+m AS (SELECT title, regexp_extract_all(c, '(?i)\[\[[^\[\]|{{}}:]+::[^\[\]|]*(?:\|[^\[\]]*)?\]\]|\[\[\s*(?:category|分类)\s*:\s*[^\[\]|]+', 0) AS m FROM t),
+e AS (SELECT title, m[i] AS m, i FROM (SELECT title, m, unnest(range(1, len(m) + 1)) AS i FROM m)),
+v AS (SELECT title, i, CASE WHEN contains(m, '::') THEN upper(trim(split_part(substr(m, 3), '::', 1))[1]) || substr(trim(split_part(substr(m, 3), '::', 1)), 2) ELSE 'Category' END AS prop,
+  CASE WHEN contains(m, '::') THEN trim(regexp_extract(m, '::([^\[\]|]*)', 1)) ELSE trim(regexp_extract(m, '(?s):\s*(.*)$', 1), chr(32) || chr(9) || chr(10) || chr(13)) END AS value FROM e),
+SELECT title, prop, value, CAST(min(i) - 1 AS INT) AS pos FROM v WHERE value <> '' GROUP BY ALL""")
 def page_properties(spark: SparkSession, d: str) -> DataFrame:
     return P.properties_of_pages(table(spark, d, "sdv_full"))

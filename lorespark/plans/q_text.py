@@ -78,6 +78,16 @@ def wikitext_table_cells(spark: SparkSession, d: str) -> DataFrame:
     return parsing.wiki_cells(_dump(spark, d), "rec_no", "content").groupBy("rec_no").agg(F.count("*").alias("cells"))
 
 
+@query(r"""WITH t AS (SELECT rec_no, regexp_replace(content, '(?is)<!--.*?(?:-->|\z)|<nowiki\b[^>]*>.*?</nowiki\s*>|<pre\b[^>]*>.*?</pre\s*>|<source\b[^>]*>.*?</source\s*>|<syntaxhighlight\b[^>]*>.*?</syntaxhighlight\s*>', chr(1), 'g') AS c FROM sdv_full),
+l AS (SELECT rec_no, trim(split_part(unnest(regexp_extract_all(c, '\[\[((?:[^\[\]]|\[[^\[]|\][^\]])*)\]\]', 1)), '|', 1), chr(32) || chr(9) || chr(10) || chr(13)) AS head FROM t),
+n AS (SELECT rec_no, head, CASE WHEN contains(head, ':') THEN trim(split_part(head, ':', 1)) ELSE '' END AS ns FROM l),
+k AS (SELECT rec_no, head, CASE WHEN contains(head, '::') THEN 'property' WHEN regexp_matches(ns, '(?i)^(?:file|image|文件|图像)$') THEN 'file' WHEN regexp_matches(ns, '(?i)^(?:category|分类)$') THEN 'category' WHEN regexp_matches(ns, '^[a-z]{2}$') THEN 'interwiki' ELSE 'internal' END AS kind FROM n)
+SELECT rec_no, kind, CASE kind WHEN 'internal' THEN trim(split_part(ltrim(head, ':'), '#', 1)) WHEN 'interwiki' THEN head WHEN 'property' THEN trim(substr(head, strpos(head, '::') + 2)) ELSE trim(substr(head, strpos(head, ':') + 1)) END AS target, count(*) AS n FROM k GROUP BY ALL""")
+def wikitext_link_targets(spark: SparkSession, d: str) -> DataFrame:
+    """The links of every record by kind and target."""
+    return parsing.wiki_links(_dump(spark, d), "rec_no", "content").groupBy("rec_no", "kind", "target").agg(F.count("*").alias("n"))
+
+
 @query()
 def wikitext_link_rows(spark: SparkSession, d: str) -> DataFrame:
     return parsing.wiki_links(_dump(spark, d), "rec_no", "content")
@@ -89,7 +99,12 @@ def template_expansion(spark: SparkSession, d: str) -> DataFrame:
     return expansion.expand_pages(dump.where("ns = 0"), dump.where("ns = 10").withColumn("newest", F.struct("dumped_at", "rec_no")), order_col="newest").select("title", "expanded")
 
 
-@query()
+@query(r"""WITH m AS (SELECT rec_no, regexp_extract(content, '(?s)p\.data = (\{.*\})\s*return p', 1) AS code FROM sdv_full WHERE ns = 828),
+e AS (SELECT rec_no, code, regexp_extract_all(code, '\["([^"]*)"\]\s*=\s*(\d+)', 1) AS k, regexp_extract_all(code, '\["([^"]*)"\]\s*=\s*(\d+)', 2) AS v FROM m),
+-- of equal keys the last value counts, in the place of the first
+o AS (SELECT rec_no, k, min(i) AS i, arg_max(v, i) AS v FROM (SELECT rec_no, k[i] AS k, v[i] AS v, i FROM (SELECT *, unnest(range(1, len(k) + 1)) AS i FROM e)) GROUP BY rec_no, k),
+j AS (SELECT rec_no, '{' || string_agg('"' || k || '": ' || v, ', ' ORDER BY i) || '}' AS json FROM o GROUP BY rec_no)
+SELECT e.rec_no, CASE WHEN code <> '' THEN coalesce(json, '{}') END AS json FROM e LEFT JOIN j ON j.rec_no = e.rec_no""")
 def module_data_tables(spark: SparkSession, d: str) -> DataFrame:
     code = F.regexp_replace(F.regexp_extract("content", r"(?s)p\.data = (\{.*\})\s*return p", 1), r"^\s*$", "")
     return site.lua_tables(_dump(spark, d).where("ns = 828").withColumn("code", code), "rec_no", "code")
