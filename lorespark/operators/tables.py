@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lorespark.functions.ranking import number_rows, running_sum
+
 
 def contains_all(hay: Column, query: str) -> Column:
     """Whether all words of the query occur in the text, whatever their case; a blank query keeps all."""
@@ -60,11 +62,10 @@ def table_heights(cells: DataFrame, least: int = 26) -> DataFrame:
 
 
 def chunk_rows(rows: DataFrame, table_col: str, row_col: str, size: int = 80, boundary_col: str | None = None) -> DataFrame:
-    """`chunk`: separator rows begin a new one; without them every `size` rows do."""
-    w = Window.partitionBy(table_col).orderBy(row_col)
+    """`chunk`: separator rows begin a new one; without them every `size` rows do. A table of any size is spread over tasks."""
     if boundary_col:
-        return rows.withColumn("chunk", F.sum(F.coalesce(F.col(boundary_col), F.lit(False)).cast("int")).over(w).cast("bigint"))
-    return rows.withColumn("chunk", F.floor((F.row_number().over(w) - 1) / size).cast("bigint"))
+        return running_sum(rows, [table_col], row_col, F.coalesce(F.col(boundary_col), F.lit(False)).cast("int"), "chunk")
+    return number_rows(rows, [table_col], row_col, out="__n").withColumn("chunk", F.floor((F.col("__n") - 1) / size).cast("bigint")).drop("__n")
 
 
 def chunk_spanned_rows(rows: DataFrame, table_col: str, row_col: str, span_col: str, size: int = 80) -> DataFrame:
@@ -80,8 +81,7 @@ def chunk_spanned_rows(rows: DataFrame, table_col: str, row_col: str, span_col:
 
 def sections(lines: DataFrame, doc_col: str, line_col: str, is_heading: Column) -> DataFrame:
     """`section`: 0 before the first heading line, then counted up at each."""
-    w = Window.partitionBy(doc_col).orderBy(line_col)
-    return lines.withColumn("section", F.sum(is_heading.cast("int")).over(w).cast("bigint"))
+    return running_sum(lines, [doc_col], line_col, is_heading.cast("int"), "section")
 
 
 def merge_spans(spans: DataFrame, doc_col: str, pos_col: str, style_col: str, text_col: str) -> DataFrame:

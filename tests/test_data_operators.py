@@ -236,12 +236,15 @@ def test_zim(spark, tmp_path):
 
 
 def test_split_pages_and_numbers(spark):
-    from lorespark.functions.ranking import number_rows
+    from lorespark.functions.ranking import number_rows, running_sum
     from lorespark.operators.tables import split_pages
 
     rows = [("big", i, t) for i, t in enumerate(["intro", "== A ==", "* 1", "* 2", "* 3", "== A ==", "x"])] + [("small", 0, "== A =="), ("small", 1, None)]
     got = {(r["d"], r["part"]): (r["label"], r["lines"]) for r in split_pages(spark.createDataFrame(rows, "d string, n int, t string"), "d", "n", "t", limit=20, items=2).collect()}
     assert got[("small", 0)] == ("A", ["== A ==", ""]) and got[("big", 0)] == ("", ["intro"]) and got[("big", 1)] == ("A", ["== A ==", "* 1", "* 2"]) and got[("big", 2)] == ("", ["* 3"]) or got[("big", 2)][1] == ["* 3"]
     assert got[("big", 3)] == ("A (2)", ["== A ==", "x"])
+    sums = running_sum(spark.createDataFrame([("h", i, i % 3) for i in range(50)] + [("h", 49, 5), (None, 1, 4), (None, None, 2), ("n", 1, None)], "k string, o bigint, v int"), ["k"], "o", F.col("v"), "s", width=7).collect()
+    want = lambda o: sum(i % 3 for i in range(o + 1)) + 5 * (o == 49)
+    assert all(r["s"] == (want(r["o"]) if r["k"] == "h" else {(None, 1): 6, (None, None): 2, ("n", 1): 0}[(r["k"], r["o"])]) for r in sums) and len(sums) == 54
     nums = number_rows(spark.createDataFrame([("h", i) for i in range(50)] + [(None, 3), (None, None)], "k string, o bigint"), ["k"], "o", width=7)
     assert {(r["k"], r["o"]): r["n"] for r in nums.collect()} == {("h", i): i + 1 for i in range(50)} | {(None, None): 1, (None, 3): 2}
