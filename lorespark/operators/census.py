@@ -17,6 +17,10 @@ PATTERNS = {
 LEAK_MARKS = ["{{", "}}", "[[", "]]", "{|", "|}", "'''", "<nowiki", "<ref", "&nbsp;", "__TOC__"]
 
 
+#: Characters by which names meet in a fuzzy match.
+GRAM = 4
+
+
 def usage(pages: DataFrame, kind: str, text_col: str = "content") -> DataFrame:
     """(name, uses, pages): how often a pattern names something, and in how many rows."""
     found = pages.select(F.regexp_extract_all(F.col(text_col), F.lit(PATTERNS[kind]), 1).alias("names"))
@@ -90,19 +94,22 @@ def audit(df: DataFrame, declared: Column, made: Column) -> DataFrame:
 def fuzzy_match(names: DataFrame, tables: DataFrame, shared: int = 8) -> DataFrame:
     """(name, table_name): equal, one inside the other, or alike in the first `shared` characters, whatever the case.
 
-    No nested loop over both sides: names meet by equal keys only. Each side gives its whole
-    form, its prefix, and all substrings as long as the other side can be; the substrings are
-    those of bounded identifiers.
+    No nested loop over both sides: names meet by equal keys only. What may lie inside the other
+    gives its first GRAM characters (or all, if it has fewer), what may hold it every run of one to
+    GRAM characters; of those that meet, containment is then tested.
     """
     a = names.select(F.col("name"), F.lower("name").alias("a")).where("a <> ''").distinct()
     b = tables.select(F.col("table_name"), F.lower("table_name").alias("b")).where("b <> ''").distinct()
 
-    def inner(c: str) -> Column:
-        starts = F.sequence(F.lit(1), F.length(c))
-        return F.array_distinct(F.flatten(F.transform(starts, lambda i: F.transform(F.sequence(F.lit(1), F.length(c) - i + 1), lambda n: F.substring(c, i, n)))))
+    def of_length(c: str, n: int) -> Column:
+        all_of_them = F.transform(F.sequence(F.lit(1), F.length(c) - (n - 1)), lambda i: F.substring(c, i, n))
+        return F.when(F.length(c) >= n, all_of_them).otherwise(F.array().cast("array<string>"))
+
+    def runs(c: str) -> Column:
+        return F.explode(F.array_distinct(F.flatten(F.array(*[of_length(c, n) for n in range(1, GRAM + 1)]))))
 
-    within = a.select("name", F.explode(inner("a")).alias("k")).join(b.select("table_name", F.col("b").alias("k")), "k").select("name", "table_name")
-    around = b.select("table_name", F.explode(inner("b")).alias("k")).join(a.select("name", F.col("a").alias("k")), "k").select("name", "table_name")
+    within = a.select("name", "a", runs("a").alias("k")).join(b.select("table_name", "b", F.left("b", F.lit(GRAM)).alias("k")), "k").where(F.contains("a", "b")).select("name", "table_name")
+    around = b.select("table_name", "b", runs("b").alias("k")).join(a.select("name", "a", F.left("a", F.lit(GRAM)).alias("k")), "k").where(F.contains("b", "a")).select("name", "table_name")
     prefix = a.where(F.length("a") >= shared).select("name", F.left("a", F.lit(shared)).alias("k")).join(b.where(F.length("b") >= shared).select("table_name", F.left("b", F.lit(shared)).alias("k")), "k").select("name", "table_name")
     return within.unionByName(around).unionByName(prefix).distinct()
 
