@@ -144,6 +144,14 @@ class AskQuery:
         return lines.select(F.when(F.col("body") == "", "").otherwise(F.concat(F.lit(head), F.col("body"), F.lit(tail))).alias("wikitext"))
 
 
+    def expanded(self, manifest: DataFrame, props: DataFrame, templates: DataFrame, page: str = "") -> DataFrame:
+        """The `wikitext` of `text` with the template calls of its rows expanded, as on the page `page`."""
+        from lorespark.operators.expansion import expand_pages
+
+        pages = self.text(manifest, props).select(F.lit(page).alias("title"), F.col("wikitext").alias("content"))
+        return expand_pages(pages, templates).select(F.col("expanded").alias("wikitext"))
+
+
 def parse_ask(args: list[str] | str, compat: bool = False) -> AskQuery:
     """The conditions in the first argument, then `?P`, `?P=Label` and options. Text between
     conditions and unknown options are ignored; of several pages, prefixes or namespaces the last counts."""

@@ -110,6 +110,15 @@ def ask_render_template_text(spark: SparkSession, d: str) -> DataFrame:
     return A.parse_ask("[[P_brand::Brand#2]][[P_size::9]]|?P_name|format=template|template=Row").text(*part_corpus(spark, d))
 
 
+@query("""SELECT coalesce(string_agg('<part:' || p_partkey || '> ' || p_name || ' in BRAND#2 (' || CASE WHEN p_partkey % 2 = 0 THEN 'even' ELSE 'odd' END || ')', chr(10) ORDER BY p_partkey), '') AS wikitext FROM part WHERE p_brand = 'Brand#2' AND p_size = 9""")
+def ask_template_expanded(spark: SparkSession, d: str) -> DataFrame:
+    """Template rows expanded: named values, a nested template, a case word and an arithmetic branch."""
+    ask = A.parse_ask("[[P_brand::Brand#2]][[P_size::9]]|?P_name|?P_brand|format=template|template=Row")
+    row = "<{{{1}}}> {{Shown|{{{P_name}}}}} in {{uc:{{{P_brand}}}}} ({{#ifexpr:{{#explode:{{{1}}}|:|1}} mod 2|odd|even}})"
+    templates = spark.createDataFrame([("Template:Row", row), ("Template:Shown", "{{{1|}}}")], "title string, content string")
+    return ask.expanded(*part_corpus(spark, d), templates)
+
+
 def _nation_corpus(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     nation = table(spark, d, "nation")
     named = lambda df, ns, key, name, of: df.join(nation, F.col(of) == F.col("n_nationkey")).select(F.concat(F.lit(ns + ":"), F.col(name)).alias("title"), F.col(key).cast("bigint").alias("ord"), F.col("n_name").alias("nation"))
