@@ -5,6 +5,7 @@ import itertools
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import regex
 from hypothesis import given, settings
@@ -284,6 +285,44 @@ def test_every_band_of_similarity_is_whole_and_few_groups_are_opened(spark):
     assert len(want) <= opened < 2 * len(want) < met / 20  # all of them share a shingle with all
 
 
+def shuffled(spark):
+    """Bytes that all stages so far have written to shuffles."""
+    gateway = spark.sparkContext._gateway
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+    none = gateway.new_array(gateway.jvm.double, 0)
+    stages = spark.sparkContext._jsc.sc().statusStore().stageList(None, False, False, none, gateway.jvm.java.util.ArrayList())
+    return sum(stages.apply(i).shuffleWriteBytes() for i in range(stages.size()))
+
+
+def test_meetings_are_not_shuffled(spark):
+    def cost(n):
+        rng = random.Random(n)
+        rows = [(i, " ".join(f"m{rng.randrange(12)}" for _ in range(60))) for i in range(n)]  # unrelated, of few shingles that all share
+        near = neardup.NearDuplicates(spark.createDataFrame(rows, "id bigint, t string"), "id", "t", 3, 0.6, 40)
+        before = shuffled(spark)
+        near.candidates().count()
+        return shuffled(spark) - before
+
+    cost(50)
+    assert cost(3000) < 3 * cost(1500)
+
+
+def test_blocks_of_the_matrix_add_up(spark, monkeypatch):
+    rows = near_rows(3, 120)
+    for name, limit in (("BLOCK_CELLS", 1), ("QUERY_MEETINGS", 50), ("STEP", 20)):
+        monkeypatch.setattr(neardup, name, limit)
+    used, blocks = [], neardup.NearDuplicates._blocks
+    monkeypatch.setattr(neardup.NearDuplicates, "_blocks", lambda self, tables: used.extend(blocks(self, tables)) or used)
+    near = neardup.NearDuplicates(spark.createDataFrame(rows, "id bigint, t string"), "id", "t", 3, 0.6, 40)
+    assert {tuple(r) for r in near.record_pairs().collect()} == brute_pairs(rows, 3, 0.6, 40) and len(used) > 1
+
+
+def test_steps_are_bounded_by_their_bytes():
+    texts = [("word " * 200_000)] * 9 + [None, "short text of words"]  # 1 MB each
+    steps = list(neardup._steps(iter([pa.record_batch([pa.array(texts)], names=["t"])]), 3, 0))
+    assert sum(len(kept) for _, kept, _ in steps) == 10 and max(len(kept) for _, kept, _ in steps) <= 5
+
+
 def test_copies_in_many_tasks_count_once(spark):
     text = " ".join(f"c{k}" for k in range(60))
     rows = [(i, text) for i in range(200)] + [(1000, text + " and more"), (1001, " ".join(f"d{k}" for k in range(57)) + " c0 c1 c2 c3")]
